@@ -115,7 +115,7 @@ def gold_daily_processed_days(layers):
 def gold_daily_from_partials(layers):
     """Measures per file date, added up later: the form an increment uses."""
     partials = dly.daily_partials(layers.silver, layers.codes, by=("date", "transaction_date"))
-    return dly.flat_daily(dly.dense_days(partials))
+    return dly.flat_daily(dly.dense_days(dly.added_days(partials)))
 
 
 @query(

@@ -236,5 +236,6 @@ def asof_resolvable(layers):
         layers.first_seen,
         "account_id",
         F.col("account_id").isNotNull(),
+        ("transaction_id",),
     )
     return dated.select("transaction_id", "account_id", "date", "_first_seen_date", "_is_resolvable")

@@ -21,13 +21,13 @@ bronze AS (
          CASE WHEN send = 1 OR k <> 0 THEN CAST(user_id AS VARCHAR) END AS account_id,
          day AS transaction_date, amount, event_type AS transaction_code,
          CASE WHEN send = 1 OR k % 7 <> 0 THEN 'm' || CAST(k AS VARCHAR) END AS merchant_name,
-         CASE WHEN send = 1 THEN 'ONLINE' WHEN k % 10 = 9 THEN 'DRIVE_THRU'
+         CASE WHEN send = 1 THEN 'ONLINE' WHEN k % 10 = 9 OR (event_id % 50 = 0 AND k % 2 = 1) THEN 'DRIVE_THRU'
               WHEN k % 2 = 0 THEN 'ONLINE' ELSE 'IN_STORE' END AS channel,
          CAST({file_date} AS DATE) AS date, event_id * 2 + send AS row_tag
   FROM sent)"""
 
 
-BRONZE = _bronze("day + send")
+BRONZE = _bronze("day + CAST(send * (1 + (event_id // 50) % 4) AS INTEGER)")
 BRONZE_SAME_DAY = _bronze("day")
 
 CODES = """

@@ -21,35 +21,41 @@ def daily_partials(silver: DataFrame, codes: DataFrame, by: tuple[str, ...] = ("
     return with_type(silver, codes).groupBy(*by).agg(*daily_measures())
 
 
-def dense_days(partials: DataFrame, processed: DataFrame | None = None) -> DataFrame:
-    """Add up partial rows per day and put a zero row on every missing day.
+def added_days(partials: DataFrame, processed: DataFrame | None = None) -> DataFrame:
+    """Add up partial rows per day. ``processed`` (column ``date``) adds a zero row for each file date,
+    so a day whose rows were all rejected has a row too."""
+    if processed is not None:
+        dates = processed.select(F.col("date").alias("transaction_date")).distinct()
+        partials = partials.unionByName(dates, allowMissingColumns=True)
+    return partials.groupBy("transaction_date").agg(*added_measures())
+
+
+def dense_days(days: DataFrame) -> DataFrame:
+    """Put a zero row on every missing day between the first and the last one. One row per day comes in.
 
-    The days run from the first to the last transaction date. ``processed`` (column ``date``) widens
-    that to the file dates that were processed, so a day whose rows were all rejected has a row too.
     The gaps come from a look at the next day present, not from a second scan for the bounds. The
     ordered pass sees one row per calendar day, never transactions.
     """
-    if processed is not None:
-        partials = partials.unionByName(
-            processed.select(F.col("date").alias("transaction_date")).distinct(), allowMissingColumns=True
-        )
-    days = partials.groupBy("transaction_date").agg(*added_measures())
     by_day = Window.orderBy("transaction_date")
-    everything = Window.orderBy("transaction_date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    everything = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     has_rows = F.when(F.col("silver_rows") > 0, F.col("transaction_date"))
     until = F.coalesce(F.date_sub(F.lead("transaction_date").over(by_day), 1), F.col("transaction_date"))
+    bounds = {
+        "_source_period_start": F.min(has_rows).over(everything),
+        "_source_period_end": F.max(has_rows).over(everything),
+        "_until": until,
+    }
     filled = (
         days.where(F.col("transaction_date").isNotNull())
-        .withColumn("_source_period_start", F.min(has_rows).over(everything))
-        .withColumn("_source_period_end", F.max(has_rows).over(everything))
-        .withColumn("_until", until)
+        .withColumns(bounds)
         .withColumn("_day", F.explode(F.sequence("transaction_date", "_until")))
     )
     present = F.col("_day") == F.col("transaction_date")
-    kept = ["_source_period_start", "_source_period_end"]
-    measures = [c for c in days.columns if c != "transaction_date"]
-    zero = [F.when(present, F.col(c)).otherwise(F.lit(0).cast(days.schema[c].dataType)).alias(c) for c in measures]
-    return filled.select(F.col("_day").alias("transaction_date"), *zero, *kept)
+    measures = [f for f in days.schema.fields if f.name != "transaction_date"]
+    filled_in = [F.when(present, F.col(f.name)).otherwise(F.lit(0).cast(f.dataType)).alias(f.name) for f in measures]
+    return filled.select(
+        F.col("_day").alias("transaction_date"), *filled_in, "_source_period_start", "_source_period_end"
+    )
 
 
 def flat_daily(dense: DataFrame) -> DataFrame:
@@ -80,4 +86,5 @@ def gold_daily(dense: DataFrame, run_id: str) -> DataFrame:
 
 def daily_summary(silver: DataFrame, codes: DataFrame, processed: DataFrame | None = None) -> DataFrame:
     """Flat daily summary straight from silver rows."""
-    return flat_daily(dense_days(daily_partials(silver, codes), processed))
+    days = daily_partials(silver, codes)
+    return flat_daily(dense_days(days if processed is None else added_days(days, processed)))

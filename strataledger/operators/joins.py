@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 SPREAD = 256
 
 
-def left_join_eligible(rows: DataFrame, unique: DataFrame, key: str, eligible: Column) -> DataFrame:
+def left_join_eligible(
+    rows: DataFrame, unique: DataFrame, key: str, eligible: Column, spread_by: tuple[str, ...]
+) -> DataFrame:
     """Left join in which only eligible rows may match; ``unique`` has one row per key.
 
     Rows that cannot match (null ids, rows already rejected) would otherwise meet in the shuffle
     partition of their null or junk key. A second join column spreads them over all partitions by
-    content: it is 0 for eligible rows and on the unique side, and 1..SPREAD for all others. A hot
-    eligible key is split by AQE, since only the left side repeats. When the unique side is small,
-    the planner broadcasts it by its measured size and nothing is shuffled.
+    ``spread_by``, columns that the caller needs anyway: it is 0 for eligible rows and on the unique
+    side, and 1..SPREAD for all others. A hot eligible key is split by AQE, since only the left side
+    repeats. When the unique side is small, the planner broadcasts it by its measured size and the
+    rows are not shuffled for it.
     """
-    by_content = [F.col(f"`{name}`") for name in rows.columns]
-    shard = F.when(eligible, F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(*by_content), F.lit(SPREAD)).cast("int"))
+    by_content = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
+    shard = F.when(eligible, F.lit(0)).otherwise(F.lit(1) + by_content)
     # Computed from the key so that the optimizer keeps it as a join column.
     zero = F.pmod(F.length(key), F.lit(1))
     return (

@@ -28,6 +28,9 @@ SCOPE_HISTORY = "history"
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+# Columns that tell rejected rows apart when they are spread over the shuffle partitions.
+SPREAD_BY = ("transaction_id", "transaction_date", "amount")
+
 
 def _as_is(df: DataFrame, name: str) -> DataFrame:
     return df
@@ -76,7 +79,8 @@ def classify(
     tag: str = "_row_tag",
     stage: Stage = _as_is,
 ) -> DataFrame:
-    """Add ``_rejection_reason``, ``debit_credit_indicator`` and ``transaction_type`` to every row.
+    """Add ``_rejection_reason``, ``debit_credit_indicator`` and ``transaction_type`` to every row,
+    and ``_ok``: the row passes every rule that needs no other row.
 
     ``bronze`` has the source columns plus the file ``date``; it may hold many dates. ``history``
     has the ids accepted on dates outside ``bronze``. With ``dup_scope="batch"`` the rows of one
@@ -109,9 +113,9 @@ def classify(
         ),
     )
     return (
-        left_join_eligible(rows, blocked, "transaction_id", eligible)
+        left_join_eligible(rows, blocked, "transaction_id", eligible, SPREAD_BY)
         .withColumn("_rejection_reason", reason)
-        .drop("_basic", "_code_known", "_ok", "_first_ok", "_in_history")
+        .drop("_basic", "_code_known", "_first_ok", "_in_history")
     )
 
 
@@ -125,7 +129,7 @@ def resolve(classified: DataFrame, first_seen: DataFrame) -> DataFrame:
     seen = first_seen.select("account_id", F.col("_first_seen_date"))
     known = F.coalesce(F.col("_first_seen_date") <= F.col("date"), F.lit(False))
     return (
-        left_join_eligible(classified, seen, "account_id", accepted)
+        left_join_eligible(classified, seen, "account_id", accepted, SPREAD_BY)
         .withColumn("_is_resolvable", F.when(accepted, known))
         .drop("_first_seen_date")
     )
@@ -134,16 +138,20 @@ def resolve(classified: DataFrame, first_seen: DataFrame) -> DataFrame:
 def accepted(resolved: DataFrame, run_id: str | Column) -> DataFrame:
     """Silver rows: signed, flagged, with the audit columns of this run."""
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
+    # An empty merchant name is present; only null is missing.
+    no_merchant = (F.col("transaction_type") == "PURCHASE") & F.col("merchant_name").isNull()
     return (
-        resolved.where(F.col("_rejection_reason").isNull())
+        # Without a reason a row is _ok as well. Saying so lets the optimizer drop the other rows
+        # below the joins instead of shuffling them.
+        resolved.where(F.col("_ok") & F.col("_rejection_reason").isNull())
         .withColumnRenamed("_ingested_at", "_bronze_ingested_at")
-        .withColumn("_pipeline_run_id", run)
-        .withColumn("_promoted_at", F.current_timestamp())
-        .withColumn("_signed_amount", signed_amount(F.col("amount"), F.col("debit_credit_indicator")).cast(MONEY))
-        # An empty merchant name is present; only null is missing.
-        .withColumn(
-            "_missing_merchant_name",
-            F.coalesce((F.col("transaction_type") == "PURCHASE") & F.col("merchant_name").isNull(), F.lit(False)),
+        .withColumns(
+            {
+                "_pipeline_run_id": run,
+                "_promoted_at": F.current_timestamp(),
+                "_signed_amount": signed_amount(F.col("amount"), F.col("debit_credit_indicator")).cast(MONEY),
+                "_missing_merchant_name": F.coalesce(no_merchant, F.lit(False)),
+            }
         )
         .select(*SILVER_TRANSACTIONS.fieldNames())
     )
@@ -154,8 +162,7 @@ def rejected(classified: DataFrame, run_id: str | Column) -> DataFrame:
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     return (
         classified.where(F.col("_rejection_reason").isNotNull())
-        .withColumn("_pipeline_run_id", run)
-        .withColumn("_rejected_at", F.current_timestamp())
+        .withColumns({"_pipeline_run_id": run, "_rejected_at": F.current_timestamp()})
         .select(*QUARANTINE_TRANSACTIONS.fieldNames())
     )
 

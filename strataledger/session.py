@@ -24,12 +24,26 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
 }
 
+# Settings that only a new session takes. Plans are built from many column expressions; the Python
+# call-site capture for each of them is slow.
+LAUNCH_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
 
+def local_session(cpus: str | int = "*", name: str = "strataledger", **conf: str) -> SparkSession:
+    """Session on this machine, for tests and benchmarks."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    for key, value in {**settings, **LAUNCH_CONF, **conf}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return configure(spark)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; safe to call again on the same session."""
     for key, value in RUNTIME_CONF.items():
