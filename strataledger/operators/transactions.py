@@ -135,36 +135,40 @@ def resolve(classified: DataFrame, first_seen: DataFrame) -> DataFrame:
     )
 
 
-def accepted(resolved: DataFrame, run_id: str | Column) -> DataFrame:
-    """Silver rows: signed, flagged, with the audit columns of this run."""
+def _promoted(resolved: DataFrame, run_id: str | Column) -> DataFrame:
+    """Columns of both outputs, computed for every row."""
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     # An empty merchant name is present; only null is missing.
     no_merchant = (F.col("transaction_type") == "PURCHASE") & F.col("merchant_name").isNull()
-    return (
-        # Without a reason a row is _ok as well. Saying so lets the optimizer drop the other rows
-        # below the joins instead of shuffling them.
-        resolved.where(F.col("_ok") & F.col("_rejection_reason").isNull())
-        .withColumnRenamed("_ingested_at", "_bronze_ingested_at")
-        .withColumns(
-            {
-                "_pipeline_run_id": run,
-                "_promoted_at": F.current_timestamp(),
-                "_signed_amount": signed_amount(F.col("amount"), F.col("debit_credit_indicator")).cast(MONEY),
-                "_missing_merchant_name": F.coalesce(no_merchant, F.lit(False)),
-            }
-        )
-        .select(*SILVER_TRANSACTIONS.fieldNames())
+    return resolved.withColumnRenamed("_ingested_at", "_bronze_ingested_at").withColumns(
+        {
+            "_pipeline_run_id": run,
+            "_promoted_at": F.current_timestamp(),
+            "_rejected_at": F.current_timestamp(),
+            "_signed_amount": signed_amount(F.col("amount"), F.col("debit_credit_indicator")).cast(MONEY),
+            "_missing_merchant_name": F.coalesce(no_merchant, F.lit(False)),
+        }
     )
 
 
+def accepted(resolved: DataFrame, run_id: str | Column) -> DataFrame:
+    """Silver rows: signed, flagged, with the audit columns of this run."""
+    # Without a reason a row is _ok as well. Saying so lets the optimizer drop the other rows below
+    # the joins instead of shuffling them.
+    kept = resolved.where(F.col("_ok") & F.col("_rejection_reason").isNull())
+    return _promoted(kept, run_id).select(*SILVER_TRANSACTIONS.fieldNames())
+
+
 def rejected(classified: DataFrame, run_id: str | Column) -> DataFrame:
     """Quarantine rows with their reason."""
-    run = F.lit(run_id) if isinstance(run_id, str) else run_id
-    return (
-        classified.where(F.col("_rejection_reason").isNotNull())
-        .withColumns({"_pipeline_run_id": run, "_rejected_at": F.current_timestamp()})
-        .select(*QUARANTINE_TRANSACTIONS.fieldNames())
-    )
+    dropped = classified.where(F.col("_rejection_reason").isNotNull())
+    return _promoted(dropped, run_id).select(*QUARANTINE_TRANSACTIONS.fieldNames())
+
+
+def settled(resolved: DataFrame, run_id: str | Column) -> DataFrame:
+    """Every row once, with the columns of both outputs and ``_accepted``, for a single write."""
+    columns = dict.fromkeys(SILVER_TRANSACTIONS.fieldNames() + QUARANTINE_TRANSACTIONS.fieldNames())
+    return _promoted(resolved, run_id).select(*columns, F.col("_rejection_reason").isNull().alias("_accepted"))
 
 
 def outcomes(silver: DataFrame, quarantine: DataFrame) -> DataFrame:

@@ -185,3 +185,19 @@ RUN_LOG = _schema(
 
 # One row per source file whose bronze partition is complete; written after the partition.
 LOADS = _schema(("entity", S), ("date", D), ("run_id", S), ("records_written", L), ("loaded_at", TS))
+
+WEEKS = _schema(("week_start_date", D), ("week_end_date", D))
+
+# Additive daily measures per (file date, transaction date).
+DAILY_MEASURES = _schema(
+    ("date", D),
+    ("transaction_date", D),
+    ("silver_rows", L),
+    ("total_transactions", L),
+    ("total_signed_amount", MONEY_SUM),
+    *[column for t in TRANSACTION_TYPES for column in ((f"{t.lower()}_count", L), (f"{t.lower()}_sum", MONEY_SUM))],
+    ("online_transactions", L),
+    ("instore_transactions", L),
+    ("total_unresolvable_transactions", L),
+    ("total_unresolvable_amount", MONEY_SUM),
+)

@@ -60,7 +60,7 @@ def event_transactions(spark: SparkSession, sf_dir: str, same_day_copies: bool =
         "user_id",
         "event_type",
         (F.col("value").cast(MONEY) - F.lit(2)).cast(MONEY).alias("amount"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
     )
     resent = F.col("event_id") % 50 == 0
     sends = F.when(resent, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
