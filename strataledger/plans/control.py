@@ -18,7 +18,8 @@ def get_watermark(wh: Warehouse) -> dt.date | None:
 
 def advance_watermark(wh: Warehouse, day: dt.date, run_id: str) -> None:
     """Replace the control row. Called last, after Gold and the week registry."""
-    wh.publish_snapshot(wh.frame([(day, now(), run_id)], wh.SNAPSHOT["pipeline/control"]).coalesce(1), "pipeline/control", run_id)
+    row = wh.frame([(day, now(), run_id)], wh.SNAPSHOT["pipeline/control"])
+    wh.publish_snapshot(row, "pipeline/control", run_id)
 
 
 def computed_weeks(wh: Warehouse) -> set[dt.date]:

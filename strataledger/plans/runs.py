@@ -58,6 +58,7 @@ def historical(wh: Warehouse, start: str, end: str, options: RunOptions | None =
     gaps = sorted(f"{row[0]}_{row[1]}.csv" for row in missing_sources(wh.spark, wh.source, start, end).collect())
     if gaps:
         raise ValueError(f"missing source files: {', '.join(gaps)}")
+    wh.refresh()
     run_id = new_run_id()
     log = RunLog(run_id)
     recover_lost_run(wh, log)
@@ -75,6 +76,7 @@ def historical(wh: Warehouse, start: str, end: str, options: RunOptions | None =
 def incremental(wh: Warehouse, options: RunOptions | None = None) -> str | None:
     """The file date after the watermark. None when one of its files has not arrived."""
     options = options or RunOptions()
+    wh.refresh()
     mark = control.get_watermark(wh)
     if mark is None:
         raise RuntimeError("no watermark: run a historical range first")

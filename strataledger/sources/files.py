@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from strataledger.functions.audit import file_date, ingest_columns
@@ -54,13 +56,20 @@ def row_position() -> Column:
     return part * F.lit(1 << 40) + F.col("_metadata.row_index")
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few driver rows as a literal relation: the planner knows its size, and no Python worker runs."""
+    names = schema.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows], schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table with its contract schema; a table not written yet is empty."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return local_frame(spark, [], schema)
         raise
 
 

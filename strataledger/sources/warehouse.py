@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from strataledger import schemas
 from strataledger.schemas import _schema
 from strataledger.session import configure, scratch_path
-from strataledger.sources.files import read_table, remove, row_position
+from strataledger.sources.files import local_frame, read_table, remove, row_position
 
 SNAPSHOTS = _schema(
     ("table_name", schemas.S), ("version", schemas.L), ("run_id", schemas.S), ("published_at", schemas.TS)
@@ -51,12 +51,13 @@ class Warehouse:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.source = source.rstrip("/")
+        self._versions: dict[str, int] | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def frame(self, rows: list, schema: StructType) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return local_frame(self.spark, rows, schema)
 
     # Reading
 
@@ -73,9 +74,15 @@ class Warehouse:
     def appended(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name), self.APPENDED[name])
 
+    def refresh(self) -> None:
+        """Look up the current version of every snapshot; a run does so when it starts."""
+        latest = self.appended("pipeline/snapshots").groupBy("table_name").agg(F.max("version"))
+        self._versions = {row[0]: row[1] for row in latest.collect()}
+
     def version(self, name: str) -> int:
-        latest = self.appended("pipeline/snapshots").where(F.col("table_name") == name).agg(F.max("version"))
-        return latest.first()[0] or 0
+        if self._versions is None:
+            self.refresh()
+        return self._versions.get(name, 0)
 
     def snapshot(self, name: str) -> DataFrame:
         version = self.version(name)
@@ -125,13 +132,14 @@ class Warehouse:
         target = f"{self.path(name)}/v={before + 1}"
         rows.write.mode("overwrite").parquet(target)
         self.append("pipeline/snapshots", [(name, before + 1, run_id, now())])
+        self._versions[name] = before + 1
         if before > 1:
             remove(self.spark, f"{self.path(name)}/v={before - 1}")
         return read_table(self.spark, target, self.SNAPSHOT[name]).count()
 
     def append(self, name: str, rows: list) -> None:
         if rows:
-            self.frame(rows, self.APPENDED[name]).coalesce(1).write.mode("append").parquet(self.path(name))
+            self.frame(rows, self.APPENDED[name]).write.mode("append").parquet(self.path(name))
 
 
 def within(rows: DataFrame, start: str, end: str) -> DataFrame:

@@ -61,10 +61,11 @@ def counts(wh):
     }
 
 
-@pytest.mark.parametrize("days_per_batch", [None, 1])
-def test_known_week(wh, days_per_batch):
-    sample.write_week(wh.source)
-    run_id = runs.historical(wh, "2024-01-01", "2024-01-07", RunOptions(days_per_batch=days_per_batch))
+def extra(id_, date, account="ACC-001", amount="10.00", code="PURCH01", channel="ONLINE", merchant="M"):
+    return f"{id_},{account},{date},{amount},{code},{merchant},{channel}"
+
+
+def check_week(wh):
     assert counts(wh) == {
         "bronze": 35, "bronze_accounts": 20, "silver": 28, "resolvable": 21, "quarantine": 7, "accounts": 3,
     }
@@ -72,15 +73,10 @@ def test_known_week(wh, days_per_batch):
     assert weekly_rows(wh) == EXPECTED_WEEKLY
     assert control.get_watermark(wh) == dt.date(2024, 1, 7)
     assert control.computed_weeks(wh) == {dt.date(2024, 1, 1)}
-    found = {row[0]: row[1] for row in verify.suite(wh, "2024-01-01", "2024-01-07").collect()}
-    assert len(found) > 30 and {name: n for name, n in found.items() if n} == {}
-    log = runs.log_of(wh, run_id).collect()
-    assert len(log) == 7 * 4 + 4 and {r.status for r in log} == {"SUCCESS"}
-    silver = [r for r in log if r.model_name == "silver_transactions"]
-    assert {(r.records_processed, r.records_written, r.records_rejected) for r in silver} == {(5, 4, 1)}
 
 
-def test_incremental_after_historical(wh):
+def test_life_of_a_warehouse(wh):
+    """Six days, one increment, a re-run of everything, a re-run of one day, then late rows."""
     sample.write_week(wh.source, range(1, 7))
     runs.historical(wh, "2024-01-01", "2024-01-06")
     assert (wh.dated("bronze/transactions").count(), wh.dated("silver/transactions").count()) == (30, 24)
@@ -88,24 +84,54 @@ def test_incremental_after_historical(wh):
     assert runs.incremental(wh) is None
     assert control.get_watermark(wh) == dt.date(2024, 1, 6)
     sample.write_week(wh.source, [7])
-    assert runs.incremental(wh) is not None
-    assert daily_rows(wh) == EXPECTED_DAILY and weekly_rows(wh) == EXPECTED_WEEKLY
-    assert control.get_watermark(wh) == dt.date(2024, 1, 7)
-    assert runs.incremental(wh) is None
+    run_id = runs.incremental(wh)
+    check_week(wh)
+    log = runs.log_of(wh, run_id).collect()
+    assert len(log) == 4 + 2 and {r.status for r in log} == {"SUCCESS"}
+    silver = [r for r in log if r.model_name == "silver_transactions"]
+    assert [(r.records_processed, r.records_written, r.records_rejected) for r in silver] == [(5, 4, 1)]
 
+    found = {row[0]: row[1] for row in verify.suite(wh, "2024-01-01", "2024-01-07").collect()}
+    assert len(found) > 30 and {name: n for name, n in found.items() if n} == {}
 
-def test_rerun_changes_nothing(wh):
-    sample.write_week(wh.source)
-    runs.historical(wh, "2024-01-01", "2024-01-07")
     before = verify.digests(wh)
     runs.historical(wh, "2024-01-01", "2024-01-07")
     assert verify.digests(wh) == before
-    runs.historical(wh, "2024-01-03", "2024-01-03")
-    after = verify.digests(wh)
-    assert after["silver/transactions"] == before["silver/transactions"]
-    assert after["gold/daily_summary"] == before["gold/daily_summary"]
-    # Bronze is written once: the audit columns still name the first run.
-    assert wh.dated("bronze/transactions").select("_pipeline_run_id").distinct().count() == 1
+    runs.historical(wh, "2024-01-07", "2024-01-07")
+    assert verify.digests(wh) == before
+    # Bronze is written once: the audit columns name the two runs that loaded it.
+    assert wh.dated("bronze/transactions").select("_pipeline_run_id").distinct().count() == 2
+
+    weekly = {tuple(r) for r in wh.weekly().collect()}
+    late = [extra("LATE-1", "2024-01-03"), extra("TXN-08", "2024-01-08"), extra("TXN-01-001", "2024-01-08")]
+    sample.write_day(wh.source, "2024-01-08", late, [sample.account_line(1, "9999.00")])
+    runs.incremental(wh)
+    assert {tuple(r) for r in wh.weekly().collect()} == weekly
+    assert daily_rows(wh)[sample.day(3)][0] == 4
+    assert wh.dated("silver/transactions").where("transaction_id = 'LATE-1'").first().date == dt.date(2024, 1, 8)
+    reasons = wh.dated("quarantine/transactions").where("date = '2024-01-08'").collect()
+    assert [(r.transaction_id, r._rejection_reason) for r in reasons] == [("TXN-01-001", "DUPLICATE_TRANSACTION_ID")]
+    assert wh.accounts().where("account_id = 'ACC-001'").first().current_balance == 9999
+
+    # A stored week that the registry does not name is replaced as a whole, ghosts included.
+    wrong = wh.weekly().withColumn("total_purchases", F.lit(99).cast("long"))
+    ghost = wrong.limit(1).withColumn("account_id", F.lit("GHOST"))
+    staged, _ = wh.stage(wrong.unionByName(ghost), "wrong")
+    wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", [sample.day(1)])
+    steps.publish_weekly(wh, [(sample.day(1), sample.day(7))], "again", balance_at=steps.WEEK_END)
+    with_late = dict(EXPECTED_WEEKLY)
+    with_late[("ACC-001", sample.day(1))] = (5, 108.0, -2000, 0, 30, 1300)
+    assert weekly_rows(wh) == with_late
+    assert steps.open_weeks(wh, sample.day(8)).count() == 0
+
+
+def test_day_loop_equals_one_batch(spark, wh, tmp_path):
+    sample.write_week(wh.source, range(1, 4))
+    other = Warehouse(spark, str(tmp_path / "other"), wh.source)
+    runs.historical(wh, "2024-01-01", "2024-01-03", RunOptions(days_per_batch=1))
+    runs.historical(other, "2024-01-01", "2024-01-03")
+    skip = verify.DIGEST_SKIP + ("_ingested_at", "_bronze_ingested_at")
+    assert verify.digests(wh, skip) == verify.digests(other, skip)
 
 
 def test_incremental_needs_a_watermark(wh):
@@ -121,25 +147,6 @@ def test_missing_source_file_is_named(wh):
         runs.historical(wh, "2024-01-03", "2024-01-01")
 
 
-def extra(id_, date, account="ACC-001", amount="10.00", code="PURCH01", channel="ONLINE", merchant="M"):
-    return f"{id_},{account},{date},{amount},{code},{merchant},{channel}"
-
-
-def test_late_rows_change_daily_but_not_registered_weeks(wh):
-    sample.write_week(wh.source)
-    runs.historical(wh, "2024-01-01", "2024-01-07")
-    before = {tuple(r) for r in wh.weekly().collect()}
-    late = [extra("LATE-1", "2024-01-03"), extra("TXN-08", "2024-01-08"), extra("TXN-01-001", "2024-01-08")]
-    sample.write_day(wh.source, "2024-01-08", late, [sample.account_line(1, "9999.00")])
-    runs.incremental(wh)
-    assert {tuple(r) for r in wh.weekly().collect()} == before
-    assert daily_rows(wh)[sample.day(3)][0] == 4
-    assert wh.dated("silver/transactions").where("transaction_id = 'LATE-1'").first().date == dt.date(2024, 1, 8)
-    reasons = wh.dated("quarantine/transactions").where("date = '2024-01-08'").collect()
-    assert [(r.transaction_id, r._rejection_reason) for r in reasons] == [("TXN-01-001", "DUPLICATE_TRANSACTION_ID")]
-    assert wh.accounts().where("account_id = 'ACC-001'").first().current_balance == 9999
-
-
 def test_late_account_does_not_repair_rows(wh):
     sample.write_codes(wh.source)
     sample.write_day(wh.source, "2024-01-01", [extra("A", "2024-01-01", account="ACC-009")], [sample.account_line(1, "1.00")])
@@ -179,25 +186,6 @@ def test_stale_quarantine_is_removed_on_rerun(wh):
     assert wh.dated("silver/transactions").count() == 1
 
 
-def test_unregistered_week_is_replaced(wh):
-    sample.write_week(wh.source)
-    runs.historical(wh, "2024-01-01", "2024-01-07")
-    wrong = wh.weekly().withColumn("total_purchases", F.lit(99).cast("long"))
-    extra_account = wrong.limit(1).withColumn("account_id", F.lit("GHOST"))
-    staged, _ = wh.stage(wrong.unionByName(extra_account), "wrong")
-    wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", [sample.day(1)])
-    steps.publish_weekly(wh, [(sample.day(1), sample.day(7))], "again")
-    assert weekly_rows(wh) == EXPECTED_WEEKLY
-    assert steps.open_weeks(wh, sample.day(7)).count() == 0
-
-
-def test_balance_as_of_week_end(wh):
-    sample.write_week(wh.source)
-    sample.write_day(wh.source, "2024-01-08", [extra("N", "2024-01-08")], [sample.account_line(1, "7.00")])
-    runs.historical(wh, "2024-01-01", "2024-01-08", RunOptions(balance_at=steps.WEEK_END))
-    assert weekly_rows(wh) == EXPECTED_WEEKLY
-
-
 def test_failure_is_logged_and_later_steps_are_skipped(wh, monkeypatch):
     sample.write_week(wh.source, [1, 2])
 
@@ -214,9 +202,6 @@ def test_failure_is_logged_and_later_steps_are_skipped(wh, monkeypatch):
     assert log[("gold_daily_summary", None)] == "SKIPPED"
     assert control.get_watermark(wh) is None
     assert wh.dated("silver/transactions").count() == 0
-    monkeypatch.undo()
-    runs.historical(wh, "2024-01-01", "2024-01-02")
-    assert wh.dated("bronze/transactions").count() == 10
 
 
 def test_lost_run_is_recorded(wh):
@@ -248,14 +233,3 @@ def test_repeated_codes_fail(wh):
     sample.write_file(wh.source, "transaction_codes.csv", sample.CODE_HEADER, sample.CODES + sample.CODES[:1])
     with pytest.raises(steps.DataQualityError, match="PURCH01"):
         runs.historical(wh, "2024-01-01", "2024-01-01")
-
-
-@pytest.mark.parametrize("mark,following", [("2024-01-31", "2024-02-01"), ("2024-02-28", "2024-02-29"), ("2024-12-31", "2025-01-01")])
-def test_next_date_over_calendar_ends(wh, mark, following):
-    sample.write_codes(wh.source)
-    account = [sample.account_line(1, "1.00")]
-    for d in (mark, following):
-        sample.write_day(wh.source, d, [extra(f"T{d}", d)], account)
-    runs.historical(wh, mark, mark)
-    runs.incremental(wh)
-    assert str(control.get_watermark(wh)) == following
