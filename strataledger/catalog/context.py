@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from strataledger.operators import accounts as acc
 from strataledger.operators import transactions as txn
 from strataledger.operators import weekly as wk
+from strataledger.schemas import WEEKS
 from strataledger.session import configure
 from strataledger.sources import feeds
+from strataledger.sources.files import local_frame, written
 
 
 class Layers:
-    """Nothing runs here; every attribute is a plan. ``run_id`` of a row is its file's run."""
+    """Every attribute is a plan over whole tables. What is used repeatedly is staged as a table."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -64,35 +66,51 @@ class Layers:
     def first_seen(self) -> DataFrame:
         return acc.first_seen(self.passing_accounts)
 
+    def staged(self, rows: DataFrame, name: str) -> DataFrame:
+        """Written once to the shared folder and read back, for results that a query uses repeatedly
+        or whose size decides a join."""
+        return written(self.spark, rows, name)[0]
+
     @cached_property
     def classified(self) -> DataFrame:
-        return txn.classify(self.bronze, self.codes)
+        return txn.classify(self.bronze, self.codes, stage=self.staged)
 
     @cached_property
     def silver(self) -> DataFrame:
         return txn.accepted(txn.resolve(self.classified, self.first_seen), F.col("_pipeline_run_id"))
 
+    @cached_property
+    def silver_table(self) -> DataFrame:
+        """Silver as a stored table, for queries that read it more than once; without the columns
+        that none of them reads."""
+        unread = ("_source_file", "_bronze_ingested_at", "_promoted_at", "merchant_name")
+        return self.staged(self.silver.drop(*unread), "silver")
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return txn.rejected(self.classified, F.col("_pipeline_run_id"))
 
     @cached_property
     def first_run_silver(self) -> DataFrame:
-        """Silver as the first run left it: only the file dates up to its end."""
-        bronze = self.up_to(self.bronze, feeds.FIRST_RUN_END)
-        classified = txn.classify(bronze, self.codes)
-        return txn.accepted(txn.resolve(classified, self.first_seen), F.col("_pipeline_run_id"))
+        """Silver as the first run left it. Later files never change the outcome of earlier ones."""
+        return self.up_to(self.silver_table, feeds.FIRST_RUN_END)
 
     # Gold
 
     @cached_property
     def no_weeks(self) -> DataFrame:
-        return self.spark.sql("SELECT CAST(NULL AS DATE) AS week_start_date WHERE false")
+        return local_frame(self.spark, [], WEEKS)
+
+    def listed(self, weeks: DataFrame) -> DataFrame:
+        """Weeks as a literal list, as a run passes them on; the calendar bounds their number."""
+        return local_frame(self.spark, [tuple(r) for r in weeks.select(*WEEKS.fieldNames()).collect()], WEEKS)
+
+    def open_weeks(self, silver: DataFrame, registry: DataFrame, through: str) -> DataFrame:
+        return self.listed(wk.uncomputed_weeks(silver.where("_is_resolvable"), registry, through))
 
     @cached_property
     def first_weeks(self) -> DataFrame:
-        dates = self.first_run_silver.where("_is_resolvable")
-        return wk.uncomputed_weeks(dates, self.no_weeks, feeds.FIRST_RUN_END)
+        return self.open_weeks(self.first_run_silver, self.no_weeks, feeds.FIRST_RUN_END)
 
     @cached_property
     def first_weekly(self) -> DataFrame:
@@ -100,19 +118,22 @@ class Layers:
 
     @cached_property
     def second_weeks(self) -> DataFrame:
-        return wk.uncomputed_weeks(self.silver.where("_is_resolvable"), self.first_weeks, feeds.BATCH_END)
+        return self.open_weeks(self.silver_table, self.first_weeks, feeds.BATCH_END)
 
     @cached_property
     def second_weekly(self) -> DataFrame:
-        return wk.weekly_summary(self.silver, self.codes, self.accounts, self.second_weeks)
+        return wk.weekly_summary(self.silver_table, self.codes, self.accounts, self.second_weeks)
 
     @cached_property
     def weekly(self) -> DataFrame:
         """Weekly table after the second run: new weeks added, registered weeks untouched."""
         return wk.merge_weeks(self.first_weekly, self.second_weekly, self.second_weeks)
 
+    @cached_property
+    def all_weeks(self) -> DataFrame:
+        return self.open_weeks(self.silver_table, self.no_weeks, feeds.BATCH_END)
+
     @cached_property
     def all_weekly(self) -> DataFrame:
         """All complete weeks computed in one run."""
-        weeks = wk.uncomputed_weeks(self.silver.where("_is_resolvable"), self.no_weeks, feeds.BATCH_END)
-        return wk.weekly_summary(self.silver, self.codes, self.accounts, weeks)
+        return wk.weekly_summary(self.silver_table, self.codes, self.accounts, self.all_weeks)

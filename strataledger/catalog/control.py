@@ -71,10 +71,10 @@ def layer_counts(layers):
     return checks.layer_counts(
         {
             "bronze": layers.bronze,
-            "silver": layers.silver,
+            "silver": layers.silver_table,
             "quarantine": layers.quarantine,
             "accounts": layers.accounts,
-            "daily": dly.daily_summary(layers.silver, layers.codes),
+            "daily": dly.daily_summary(layers.silver_table, layers.codes),
             "all_weekly": layers.all_weekly,
         }
     )
@@ -190,7 +190,7 @@ def _mismatch_sql(published: str, keys: tuple, measures: list) -> str:
 def recon_daily(layers):
     """The daily table of the first run against silver with the rows that came later."""
     published = dly.daily_summary(layers.first_run_silver, layers.codes)
-    fresh = checks.daily_from_silver(layers.silver)
+    fresh = checks.daily_from_silver(layers.silver_table)
     return checks.reconcile(published, fresh, ["transaction_date"], checks.DAILY_RECONCILED)
 
 
@@ -213,7 +213,7 @@ fresh AS (
 )
 def recon_weekly(layers):
     """Registered weeks against silver: late rows show as differences, all four measures at once."""
-    fresh = checks.weekly_from_silver(layers.silver, layers.codes)
+    fresh = checks.weekly_from_silver(layers.silver_table, layers.codes)
     return checks.reconcile(layers.weekly, fresh, ["account_id", "week_start_date"], checks.WEEKLY_RECONCILED)
 
 
@@ -239,7 +239,7 @@ def weekly_without_active_day(layers):
 )
 def missing_weekly_pairs(layers):
     """Accounts whose only rows of a registered week came late."""
-    return checks.missing_weekly_pairs(layers.silver, layers.first_weekly, layers.first_weeks).select(
+    return checks.missing_weekly_pairs(layers.silver_table, layers.first_weekly, layers.first_weeks).select(
         "account_id", "week_start_date"
     )
 
@@ -397,8 +397,7 @@ def unregistered_weeks(layers):
     with_(*LAYERS) + f"SELECT MAX(week) AS week_start_date, MAX(week) + 6 AS week_end_date FROM silver WHERE resolvable AND week + 6 <= {END}",
 )
 def latest_week(layers):
-    weeks = wk.uncomputed_weeks(layers.silver.where("_is_resolvable"), layers.no_weeks, feeds.BATCH_END)
-    return weeks.agg(F.max("week_start_date").alias("week_start_date")).withColumn(
+    return layers.all_weeks.agg(F.max("week_start_date").alias("week_start_date")).withColumn(
         "week_end_date", F.date_add("week_start_date", 6)
     )
 
@@ -417,6 +416,6 @@ def expected_dates_absent(layers):
 @query("content_digest")
 def content_digest(layers):
     """Count and order-free hash of each layer, as a re-run comparison takes them."""
-    silver = checks.content_digest(layers.silver, exclude=["_promoted_at"]).withColumn("layer", F.lit("silver"))
-    gold = checks.content_digest(dly.daily_summary(layers.silver, layers.codes)).withColumn("layer", F.lit("daily"))
+    silver = checks.content_digest(layers.silver_table, exclude=["_promoted_at"]).withColumn("layer", F.lit("silver"))
+    gold = checks.content_digest(dly.daily_summary(layers.silver_table, layers.codes)).withColumn("layer", F.lit("daily"))
     return silver.unionByName(gold)

@@ -150,7 +150,7 @@ def uncomputed_weeks(layers):
          JOIN registered r ON s.transaction_date BETWEEN r.week AND r.week + 6 WHERE resolvable""",
 )
 def week_range_rows(layers):
-    return wk.rows_of_weeks(layers.silver, layers.first_weeks).select(
+    return wk.rows_of_weeks(layers.silver_table, layers.first_weeks).select(
         "transaction_id", "transaction_date", "week_start_date"
     )
 
@@ -191,8 +191,7 @@ def gold_weekly_all(layers):
 )
 def gold_weekly_replace(layers):
     """Stored but unregistered weeks are computed again and replaced."""
-    weeks = wk.uncomputed_weeks(layers.silver.where("_is_resolvable"), layers.no_weeks, feeds.BATCH_END)
-    return wk.merge_weeks(layers.first_weekly, layers.all_weekly, weeks)
+    return wk.merge_weeks(layers.first_weekly, layers.all_weekly, layers.all_weeks)
 
 
 @query(
@@ -203,8 +202,7 @@ def gold_weekly_replace(layers):
          AS closing_balance FROM all_weekly w""",
 )
 def gold_weekly_balance_at_week_end(layers):
-    weeks = wk.uncomputed_weeks(layers.silver.where("_is_resolvable"), layers.no_weeks, feeds.BATCH_END)
-    measures = wk.weekly_measures_of(layers.silver, layers.codes, weeks)
+    measures = wk.weekly_measures_of(layers.silver_table, layers.codes, layers.all_weeks)
     balances = acc.balances_at_week_end(layers.passing_accounts, measures)
     return wk.with_week_end_balance(measures, balances).select(
         "account_id", "week_start_date", "total_purchases", "closing_balance"
@@ -223,7 +221,13 @@ LINEITEM_LAYERS = (LINEITEMS, LINEITEM_CODES, CLASSIFIED, ACCOUNTS, VOLUME_SILVE
 def volume_silver(layers, bronze, codes):
     """All accounts count as known from the start: the account files are younger than the orders."""
     known = layers.first_seen.withColumn("_first_seen_date", F.lit("1900-01-01").cast("date"))
-    return txn.accepted(txn.resolve(txn.classify(bronze, codes), known), "volume")
+    return txn.accepted(txn.resolve(txn.classify(bronze, codes, stage=layers.staged), known), "volume")
+
+
+def lineitem_bronze(layers):
+    """Stored, so the join with the orders runs once and not once per use."""
+    rows = layers.staged(feeds.lineitem_rows(layers.spark, layers.sf_dir), "lineitem")
+    return feeds.audited(rows, "lineitem")
 
 
 def order_silver(layers):
@@ -233,9 +237,7 @@ def order_silver(layers):
 
 
 def lineitem_silver(layers):
-    return volume_silver(
-        layers, feeds.lineitem_transactions(layers.spark, layers.sf_dir), feeds.lineitem_codes(layers.spark)
-    )
+    return volume_silver(layers, lineitem_bronze(layers), feeds.lineitem_codes(layers.spark))
 
 
 @query("daily_orders", with_(*ORDER_LAYERS, daily("daily", "silver")) + "SELECT * FROM daily")
@@ -250,9 +252,8 @@ def daily_orders(layers):
 )
 def weekly_customer_orders(layers):
     silver = order_silver(layers)
-    weeks = wk.uncomputed_weeks(
-        feeds.order_transactions(layers.spark, layers.sf_dir), layers.no_weeks, "2001-07-29"
-    )
+    dates = feeds.order_transactions(layers.spark, layers.sf_dir)
+    weeks = layers.listed(wk.uncomputed_weeks(dates, layers.no_weeks, "2001-07-29"))
     return wk.weekly_summary(silver, feeds.order_codes(layers.spark), layers.accounts, weeks)
 
 
@@ -264,8 +265,7 @@ def weekly_customer_orders(layers):
 )
 def lineitem_classify(layers):
     """Many ids repeat here, across dates and inside one date."""
-    bronze = feeds.lineitem_transactions(layers.spark, layers.sf_dir)
-    classified = txn.classify(bronze, feeds.lineitem_codes(layers.spark))
+    classified = txn.classify(lineitem_bronze(layers), feeds.lineitem_codes(layers.spark), stage=layers.staged)
     return classified.select(
         "transaction_id",
         "account_id",
@@ -290,5 +290,5 @@ def daily_lineitems(layers):
 def weekly_customer_lineitems(layers):
     silver = lineitem_silver(layers)
     bronze_dates = layers.table("lineitem").select(F.to_date("l_shipdate").alias("transaction_date"))
-    weeks = wk.uncomputed_weeks(bronze_dates, layers.no_weeks, "2001-07-29")
+    weeks = layers.listed(wk.uncomputed_weeks(bronze_dates, layers.no_weeks, "2001-07-29"))
     return wk.weekly_summary(silver, feeds.lineitem_codes(layers.spark), layers.accounts, weeks)

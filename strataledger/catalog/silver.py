@@ -71,7 +71,7 @@ def txn_classify(layers):
 def txn_classify_within_file(layers):
     """Repeated ids inside one file: the first occurrence that passes the other rules wins."""
     bronze = feeds.event_transactions(layers.spark, layers.sf_dir, same_day_copies=True)
-    return txn_columns(txn.classify(bronze, layers.codes, dup_scope=txn.SCOPE_BATCH), "date", "_rejection_reason")
+    return txn_columns(txn.classify(bronze, layers.codes, dup_scope=txn.SCOPE_BATCH, stage=layers.staged), "date", "_rejection_reason")
 
 
 @query(
@@ -83,7 +83,8 @@ def txn_classify_increment(layers):
     """Later files against the ids that silver already accepted on other dates."""
     later = layers.bronze.where(F.col("date") > F.lit(feeds.FIRST_RUN_END).cast("date"))
     history = layers.first_run_silver.select("transaction_id")
-    return txn_columns(txn.classify(later, layers.codes, history), "date", "_rejection_reason")
+    classified = txn.classify(later, layers.codes, history, stage=layers.staged)
+    return txn_columns(classified, "date", "_rejection_reason")
 
 
 SILVER_SELECT = f"""SELECT {TXN_SQL}, date, resolvable AS _is_resolvable, CAST(signed AS DOUBLE) AS _signed_amount,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -64,10 +66,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="strataledger-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set(SHARED_DIR_CONF, path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new, unused path below the shared folder. The application id in it tells whose leftovers a
+    folder holds, should an application end before it removes them."""
+    return os.path.join(shared_dir(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")

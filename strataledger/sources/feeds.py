@@ -36,7 +36,7 @@ def _day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
-def _audited(df: DataFrame, entity: str) -> DataFrame:
+def audited(df: DataFrame, entity: str) -> DataFrame:
     date_text = F.date_format("date", "yyyy-MM-dd")
     return df.withColumns(
         {
@@ -80,7 +80,7 @@ def event_transactions(spark: SparkSession, sf_dir: str, same_day_copies: bool =
         file_date.alias("date"),
         (F.col("event_id") * 2 + F.col("send")).alias("_row_tag"),
     )
-    return _audited(rows, "transactions")
+    return audited(rows, "transactions")
 
 
 def event_codes(spark: SparkSession) -> DataFrame:
@@ -148,7 +148,7 @@ def customer_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.element_at(dates, F.col("file") + 1).alias("date"),
         )
     )
-    return _audited(rows, "accounts")
+    return audited(rows, "accounts")
 
 
 def order_codes(spark: SparkSession) -> DataFrame:
@@ -187,15 +187,15 @@ def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority") < "3", "ONLINE").otherwise("IN_STORE").alias("channel"),
         F.to_date("o_orderdate").alias("date"),
     )
-    return _audited(rows, "orders")
+    return audited(rows, "orders")
 
 
-def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as card transactions of the customer who placed the order."""
     buyers = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("account_id")
     )
-    rows = (
+    return (
         table(spark, sf_dir, "lineitem")
         .join(buyers, "l_orderkey", "left")
         .select(
@@ -211,4 +211,7 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_date("l_shipdate").alias("date"),
         )
     )
-    return _audited(rows, "lineitem")
+
+
+def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(lineitem_rows(spark, sf_dir), "lineitem")

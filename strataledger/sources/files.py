@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql.types import StructType
 from strataledger.functions.audit import file_date, ingest_columns
 from strataledger.functions.dates import days_between
 from strataledger.operators.checks import absent_dates
+from strataledger.session import scratch_path
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
@@ -73,6 +76,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         raise
 
 
+def written(
+    spark: SparkSession, rows: DataFrame, name: str, partition_by: Iterable[str] = ()
+) -> tuple[DataFrame, str]:
+    """Write rows to the shared folder and read them back; also returns the folder.
+
+    Later steps start from a table whose size is known and that outlives any executor.
+    """
+    path = scratch_path(spark, name)
+    rows.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 
 from strataledger import schemas
 from strataledger.schemas import _schema
-from strataledger.session import configure, scratch_path
-from strataledger.sources.files import local_frame, read_table, remove, row_position
+from strataledger.session import configure
+from strataledger.sources.files import local_frame, read_table, remove, row_position, written
 
 SNAPSHOTS = _schema(
     ("table_name", schemas.S), ("version", schemas.L), ("run_id", schemas.S), ("published_at", schemas.TS)
@@ -103,11 +103,7 @@ class Warehouse:
     # Writing
 
     def stage(self, rows: DataFrame, name: str, partition_by: Iterable[str] = ()) -> tuple[DataFrame, str]:
-        """Write to the shared folder and read back: later steps start from a table whose size is
-        known and that outlives any executor."""
-        path = scratch_path(self.spark, name)
-        rows.write.partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path), path
+        return written(self.spark, rows, name, partition_by)
 
     def publish_partitions(self, staged: DataFrame, path: str, column: str, values: Iterable[dt.date]) -> dict:
         """Replace the given partitions by staged rows and return the row count of each.
