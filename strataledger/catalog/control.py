@@ -22,10 +22,10 @@ from strataledger.catalog.sql_layers import (
     daily,
     with_,
 )
-from strataledger.functions.dates import days_between, next_day, weeks_of
+from strataledger.functions.dates import days_between, next_day
 from strataledger.operators import checks
 from strataledger.operators import daily as dly
-from strataledger.operators import runlog, weekly as wk
+from strataledger.operators import runlog
 from strataledger.sources import feeds
 
 

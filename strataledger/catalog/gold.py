@@ -9,7 +9,6 @@ from strataledger.catalog.sql_layers import (
     ALL_WEEKLY,
     BRONZE,
     END,
-    FIRST,
     FIRST_WEEKLY,
     LAYERS,
     LINEITEMS,

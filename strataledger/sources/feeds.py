@@ -36,6 +36,12 @@ def _day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a file stream."""
+    reader = spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(sf_dir)
+
+
 def audited(df: DataFrame, entity: str) -> DataFrame:
     date_text = F.date_format("date", "yyyy-MM-dd")
     return df.withColumns(
@@ -47,14 +53,17 @@ def audited(df: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def event_transactions(spark: SparkSession, sf_dir: str, same_day_copies: bool = False) -> DataFrame:
+def event_transactions(
+    spark: SparkSession, sf_dir: str, same_day_copies: bool = False, events: DataFrame | None = None
+) -> DataFrame:
     """``events`` as card transactions.
 
     Some events are sent again with a valid channel: in a file of the next four days, or in the same
     file when ``same_day_copies`` is set. Half of them had an invalid channel at first, so they are
-    accepted late. ``_row_tag`` is the position of a row in its file.
+    accepted late. ``_row_tag`` is the position of a row in its file. ``events`` may be a stream of
+    the same table.
     """
-    events = table(spark, sf_dir, "events").select(
+    events = (table(spark, sf_dir, "events") if events is None else events).select(
         "event_id",
         F.to_date("ts").alias("day"),
         "user_id",

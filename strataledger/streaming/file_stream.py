@@ -37,7 +37,8 @@ def append_new_dates(wh: Warehouse, entity: str, run_id: str):
 
     def write(rows: DataFrame, batch_id: int) -> None:
         loaded = wh.appended("pipeline/loads").where(F.col("entity") == entity).select("date")
-        fresh = rows.join(F.broadcast(loaded), "date", "left_anti")  # one row per calendar date
+        # The calendar bounds the loaded dates. Dates are brought together before they are written.
+        fresh = rows.join(F.broadcast(loaded), "date", "left_anti").hint("rebalance", "date")
         staged, path = wh.stage(fresh, f"stream-{entity}", ["date"])
         days = [row[0] for row in staged.select("date").distinct().collect()]
         counts = wh.publish_partitions(staged, table, "date", days)
