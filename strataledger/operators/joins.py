@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 256
+# Many more values than shuffle partitions, so the spread stays even at any cluster size.
+SPREAD = 1 << 20
 
 
 def left_join_eligible(

@@ -42,13 +42,17 @@ def _position(dup_scope: str, tag: str) -> Column:
     return F.struct("date", tag)
 
 
-def blocked_ids(candidates: DataFrame, history: DataFrame | None, position: Column) -> DataFrame:
+def blocked_ids(candidates: DataFrame, history: DataFrame | None, position: Column, stage: Stage = _as_is) -> DataFrame:
     """Ids with at least one duplicate row: ``transaction_id, _first_ok, _in_history``.
 
     ``candidates`` carries ``_ok`` (the row passes every other rule). The earliest such row is never
     a duplicate, so it is accepted, and only accepted ids reject later rows. This equals walking the
     files day by day, without the walk. Only id and position are shuffled, combined per task first;
     ids whose rows are all fine drop out, so the result is small next to the data.
+
+    The history may be far larger than the batch. The ids of the batch are staged first; the equality
+    on a column of that table tells the optimizer to build a runtime bloom filter from it, which
+    drops nearly all of the history in its scan instead of shuffling every id ever accepted.
     """
     per_id = candidates.groupBy("transaction_id").agg(
         F.min(F.when(F.col("_ok"), position)).alias("_first_ok"), F.max(position).alias("_last")
@@ -58,9 +62,14 @@ def blocked_ids(candidates: DataFrame, history: DataFrame | None, position: Colu
     )
     if history is None:
         return inside
+    batch_ids = (
+        stage(per_id.select("transaction_id").withColumn("_batch", F.lit(1)), "batch_ids")
+        .where(F.col("_batch") == 1)
+        .select("transaction_id")
+    )
     known = (
         history.select("transaction_id")
-        .join(per_id.select("transaction_id"), "transaction_id", "left_semi")
+        .join(batch_ids, "transaction_id", "left_semi")
         .select("transaction_id", F.lit(None).cast(inside.schema["_first_ok"].dataType).alias("_first_ok"))
         .withColumn("_in_history", F.lit(True))
     )
@@ -100,7 +109,8 @@ def classify(
     eligible = F.col("_basic").isNull()
     position = _position(dup_scope, tag)
     candidate_columns = ["transaction_id", "_ok", "date"] + ([tag] if dup_scope == SCOPE_BATCH else [])
-    blocked = stage(blocked_ids(rows.where(eligible).select(*candidate_columns), history, position), "blocked_ids")
+    candidates = rows.where(eligible).select(*candidate_columns)
+    blocked = stage(blocked_ids(candidates, history, position, stage), "blocked_ids")
     duplicate = F.col("_in_history") | (position > F.col("_first_ok"))
     reason = F.coalesce(
         F.col("_basic"),

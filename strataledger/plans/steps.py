@@ -43,6 +43,12 @@ class DataQualityError(RuntimeError):
     """A check before publishing failed; nothing was published."""
 
 
+def by_partition(rows: DataFrame, column: str, partitions: int) -> DataFrame:
+    """Bring the rows of an output partition together, so that not every task writes a file to each.
+    AQE splits hot partitions and joins small ones. A single partition needs no shuffle."""
+    return rows.hint("rebalance", column) if partitions > 1 else rows
+
+
 def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) -> dict:
     """Ingest the files of the batch that are not loaded yet, all dates in one job.
 
@@ -88,7 +94,8 @@ def promote_accounts(wh: Warehouse, batch: Batch) -> tuple[int, dict]:
     """Upsert the accepted account rows of the batch; quarantine the others per file date."""
     bronze = wh.dated_with_position("bronze/accounts", *batch.bounds)
     classified = acc.classify_accounts(bronze)
-    rejected, path = wh.stage(acc.rejected_accounts(classified), "rejected-accounts", ["date"])
+    rejects = by_partition(acc.rejected_accounts(classified), "date", len(batch.dates))
+    rejected, path = wh.stage(rejects, "rejected-accounts", ["date"])
     incoming = acc.incoming_accounts(acc.passing(classified), "_row_tag")
     snapshot = acc.upsert(wh.snapshot("silver/accounts"), incoming)
     total = wh.publish_snapshot(snapshot, "silver/accounts", batch.run_id)
@@ -105,6 +112,8 @@ def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE
     """
     bronze = wh.dated_with_position("bronze/transactions", *batch.bounds)
     history = outside_range(wh.dated("silver/transactions"), *batch.bounds).select("transaction_id")
+    if history.isEmpty():  # a first load has no other dates to compare with
+        history = None
     scratch = []
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
@@ -115,10 +124,7 @@ def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE
     codes = wh.snapshot("silver/transaction_codes")
     classified = txn.classify(bronze, codes, history, dup_scope, stage=stage)
     resolved = txn.resolve(classified, wh.snapshot("silver/accounts"))
-    rows = txn.settled(resolved, batch.run_id)
-    if len(batch.dates) > 1:
-        # One task per date and file instead of every task writing to every date; hot dates are split.
-        rows = rows.hint("rebalance", "_accepted", "date")
+    rows = by_partition(txn.settled(resolved, batch.run_id), "date", len(batch.dates))
     staged, path = wh.stage(rows, "transactions", ["_accepted", "date"])
     scratch.append(path)
     silver = staged.where(F.col("_accepted")).select(*schemas.SILVER_TRANSACTIONS.fieldNames())
@@ -176,7 +182,8 @@ def publish_weekly(wh: Warehouse, weeks: list[tuple], run_id: str, balance_at: s
             summary = wk.with_week_end_balance(measures, acc.balances_at_week_end(passing, measures))
         else:
             summary = wk.with_run_end_balance(measures, wh.snapshot("silver/accounts"))
-        staged, path = wh.stage(wk.gold_weekly(summary, run_id), "weekly", ["week_start_date"])
+        rows = by_partition(wk.gold_weekly(summary, run_id), "week_start_date", len(weeks))
+        staged, path = wh.stage(rows, "weekly", ["week_start_date"])
         wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", starts)
         remove(wh.spark, path)
     return wh.weekly().count()

@@ -25,7 +25,15 @@ RUNTIME_CONF = {
     # Let a day's ids prune the scan of the accepted history before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    # Room for a day of 20 million ids in 20 MB. With more ids the filter passes more rows, and the
+    # result stays the same; Spark adds it only where it would save a scan of 10 GB or more.
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "167772160",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # After a rebalance a task holds few dates: keep their files open instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 # Settings that only a new session takes. Plans are built from many column expressions; the Python

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -67,9 +68,10 @@ class Warehouse:
     def dated_with_position(self, name: str, start: str, end: str) -> DataFrame:
         """Rows of some file dates with ``_row_tag``, their place in the file."""
         rows = within(self.dated(name), start, end)
-        if not rows.inputFiles():
+        try:
+            return rows.select("*", row_position().alias("_row_tag"))
+        except AnalysisException:  # a table not written yet has no files, so no positions either
             return rows.withColumn("_row_tag", F.lit(None).cast("long"))
-        return rows.select("*", row_position().alias("_row_tag"))
 
     def appended(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name), self.APPENDED[name])

@@ -143,3 +143,22 @@ def test_staged_ids_decide_their_join_by_size(spark, tmp_path):
     df = txn.classify(hot_bronze(spark, 3000), codes(spark), stage=stage)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_batch_ids_prune_the_history_scan(spark, silver_path, tmp_path):
+    """The scan of all accepted ids is filtered by a bloom filter over the ids of the batch."""
+    plans = []
+
+    def stage(rows, name):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        rows.write.parquet(str(tmp_path / name))
+        return spark.read.schema(rows.schema).parquet(str(tmp_path / name))
+
+    history = spark.read.schema(schemas.SILVER_TRANSACTIONS).parquet(silver_path).select("transaction_id")
+    always = {"spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "0"}
+    with settings(spark, **LARGE, **always):
+        got = txn.classify(hot_bronze(spark, 6000), codes(spark), history, stage=stage)
+        counts = {r._rejection_reason: r["count"] for r in got.groupBy("_rejection_reason").count().collect()}
+    assert "might_contain" in plans[-1]
+    # Of 6,000 rows a third has no account; the ids of the first 3,000 are in the history.
+    assert counts == {"NULL_REQUIRED_FIELD": 2000, "DUPLICATE_TRANSACTION_ID": 2000, None: 2000}
