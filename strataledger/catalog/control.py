@@ -232,14 +232,13 @@ def weekly_without_active_day(layers):
 
 @query(
     "missing_weekly_pairs",
-    with_(*LAYERS, REGISTERED, FIRST_WEEKLY)
-    + """SELECT DISTINCT account_id, week AS week_start_date FROM silver WHERE resolvable
-         AND week IN (SELECT week FROM registered)
+    with_(*LAYERS, FIRST_WEEKLY)
+    + f"""SELECT DISTINCT account_id, week AS week_start_date FROM silver WHERE resolvable AND week + 6 <= {END}
          AND (account_id, week) NOT IN (SELECT (account_id, week_start_date) FROM first_weekly)""",
 )
 def missing_weekly_pairs(layers):
-    """Accounts whose only rows of a registered week came late."""
-    return checks.missing_weekly_pairs(layers.silver_table, layers.first_weekly, layers.first_weeks).select(
+    """All complete weeks against the weekly table of the first run; open weeks do not count."""
+    return checks.missing_weekly_pairs(layers.silver_table, layers.first_weekly, layers.all_weeks).select(
         "account_id", "week_start_date"
     )
 
