@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm.common import table
+from strataledger.llm import quality_cnn
+from strataledger.llm.common import id_remainder, table
 from strataledger.llm.packing import pack
+from strataledger.llm.samples import HELD_OUT_DIVISOR
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -23,3 +25,15 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = quality_cnn.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, net).select(
+        "doc_id",
+        (id_remainder("doc_id", HELD_OUT_DIVISOR) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"),
+    )
