@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import quality_cnn
+from strataledger.llm import language, quality_cnn, toxicity
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.packing import pack
 from strataledger.llm.samples import HELD_OUT_DIVISOR
@@ -37,3 +37,23 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (id_remainder("doc_id", HELD_OUT_DIVISOR) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 3) == 1
+    found = language.identify(docs, language.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
