@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataledger.llm import language, quality_cnn, toxicity
 from strataledger.llm.common import id_remainder, table
+from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
 from strataledger.llm.samples import HELD_OUT_DIVISOR
 
@@ -57,3 +58,8 @@ def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 3) == 1
     found = language.identify(docs, language.fit(docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
