@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import language, quality_cnn, toxicity
+from strataledger.llm import context_tree, language, quality_cnn, toxicity
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
@@ -63,3 +63,11 @@ def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = context_tree.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) != 0)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
