@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import context_tree, language, positional_index, quality_cnn, toxicity
+from strataledger.llm import context_tree, language, positional_index, quality_cnn, quality_rules, toxicity
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
@@ -112,3 +112,11 @@ def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op9_positional_index"] = OP9_SQL
+
+
+@query
+def op7_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality_rules.judged(table(spark, sf_dir, "documents"), trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
+    )
