@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 13
 SMOOTHING = 1.0
-THRESHOLD = -0.1
+THRESHOLD = -0.07
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 # White space between words, and characters that count as symbols.
