@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import context_tree, language, positional_index, quality_cnn, quality_rules, toxicity
+from strataledger.llm import context_tree, language, personal_data, positional_index, quality_cnn, quality_rules, toxicity
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
@@ -120,3 +120,21 @@ def op7_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), trusted).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
     )
+
+
+@query
+def op5_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find(docs, personal_data.fit(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    strict = F.filter("spans", lambda s: s["strict"])
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["strict"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+        for kind in personal_data.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(strict).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
