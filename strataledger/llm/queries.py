@@ -130,11 +130,11 @@ def op5_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["strict"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [of_kind(kind) for kind in personal_data.KINDS]
     strict = F.filter("spans", lambda s: s["strict"])
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["strict"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-        for kind in personal_data.KINDS
-    ]
     return found.select(
         "doc_id", *counts, F.sha2(listed(strict).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
