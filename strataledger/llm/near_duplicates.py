@@ -102,7 +102,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links (a, b) that connect all similar nodes."""
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = stored(banded.join(shared, "bucket"), "members")
     candidates = nodes.join(members.select("node").distinct(), "node")
@@ -134,15 +134,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     labelled = placed.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low != high").select("bucket")
-    open_ = stored(labelled.join(mixed, "bucket"), "open")
-    left = open_.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "own", "component")])
-    right = open_.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "own", "component")])
+    open_ = stored(labelled.join(mixed, "bucket").join(nodes.select("node", "bands"), "node"), "open")
+    # Keys name their band, so earlier bands that a pair shares are equal keys before this one.
+    earlier = F.slice("bands", 1, F.col("band")).alias("earlier")
+    left, right = (
+        open_.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "own", "component")], earlier.alias(f"earlier_{side}"))
+        for side in ("a", "b")
+    )
     rest = (
         left.join(right, "bucket")
         .where("node_a < node_b and component_a != component_b")
         .where(highest(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b")))
+        .where(~F.arrays_overlap("earlier_a", "earlier_b"))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
     )
     return first.union(stored(verified(rest, sets), "links"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import context_tree, language, personal_data, positional_index, quality_cnn, quality_rules, toxicity
+from strataledger.llm import chat_format, context_tree, language, personal_data, positional_index, quality_cnn, quality_rules, toxicity
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
@@ -138,3 +138,31 @@ def op5_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(listed(strict).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+OP4_SQL = """
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM turns),
+whole AS (
+    SELECT conv_id, count(*) AS turns,
+        list(concat('<|', role, '|>', chr(10), text, chr(10), '<|end|>', chr(10)) ORDER BY place) AS said
+    FROM placed GROUP BY conv_id),
+prefixes AS (SELECT DISTINCT said[1:k] AS said FROM (SELECT said, unnest(range(1, turns)) AS k FROM whole)),
+kept AS (
+    SELECT min(conv_id) AS conv_id, min(turns) AS turns, said FROM whole
+    WHERE said NOT IN (SELECT said FROM prefixes) GROUP BY said),
+blocks AS (SELECT conv_id, turns, said, unnest(range(0, (turns - 1) // 256 + 1)) AS block FROM kept)
+SELECT conv_id, CAST(turns AS BIGINT) AS turns, CAST(block AS BIGINT) AS block,
+    array_to_string(said[block * 256 + 1:block * 256 + 256], '') AS text FROM blocks
+"""
+
+
+@query
+def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render(table(spark, sf_dir, "conversations"))
+
+
+SQL["op4_snapshot_collapse"] = OP4_SQL
