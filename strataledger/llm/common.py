@@ -64,6 +64,15 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[p
             start = stop
 
 
+# Ids up to this number are sent to all tasks (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint, if counting them shows that they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [
         column.cast(field.type) if isinstance(column, pa.Array) else pa.array(column, type=field.type)

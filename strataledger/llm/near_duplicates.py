@@ -26,15 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataledger.llm.common import blocks, record_batch, stored, utf8
+from strataledger.llm.common import blocks, record_batch, small_side, stored, utf8
 from strataledger.llm.components import components
 from strataledger.llm.shingles import U64, mix, shingle_sets
 from strataledger.llm.similarity_sketch import band_keys, sketch
 
 # A pair is linked if 100 * intersection >= PERCENT * union.
 PERCENT = 85
-# Ids up to this number are sent to all tasks (8 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(elements: np.ndarray) -> tuple[int, int]:
@@ -66,9 +64,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Full sets of ``nodes`` (node, n_shingles, f1, f2), made again from the documents' texts."""
     wanted = nodes.select(F.col("node").alias("doc_id"), "f1", "f2")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(small_side(wanted), "doc_id")
 
     def run(batches):
         schema = pa.schema([("node", pa.int64()), ("elements", pa.list_(pa.int64()))])
@@ -173,3 +169,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One document of each component, with all columns; of rows that repeat an id one stays, rows without an id all stay."""
+    found = stored(near_duplicates(docs).select("doc_id", "kept"), "near_duplicates")
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(small_side(dropped), "doc_id", "left_anti").select(*docs.columns)
+    repeated = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return left
+    ids = small_side(repeated)
+    once = left.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    return once.union(left.join(ids, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))

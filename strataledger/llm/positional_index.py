@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataledger.llm.common import stored
+from strataledger.llm.common import small_side, stored
 
 WINDOW = 10
 # ASCII characters that separate words; upper-case letters are turned into lower case first.
@@ -48,9 +48,13 @@ def phrases(items: DataFrame) -> DataFrame:
     return cut.select(F.array_join("words", " ").alias("phrase"), "words", F.size("words").alias("n"), "item_id").distinct()
 
 
+def document_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings (doc, word, pos) of all ``terms``, and one row (doc, doc_id, n_words) without a word per document row."""
-    split = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", raw_words(F.col("text")).alias("words"))
+    split = docs.select(document_key().alias("doc"), "doc_id", raw_words(F.col("text")).alias("words"))
     size = F.size("words")
     ends = (F.get("words", F.lit(0)) == "").cast("int") + ((size > 1) & (F.get("words", size - 1) == "")).cast("int")
     # The null behind the last word carries the document's own row.
@@ -126,7 +130,7 @@ def proximity_matches(index: DataFrame, wanted: DataFrame, reach: int) -> DataFr
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Every document row with n_words, n_hit, items (sorted ids as text of the test texts found in it) and contaminated."""
+    """Every document row with its key doc, n_words, n_hit, items (sorted ids as text of the test texts found in it) and contaminated."""
     wanted = stored(phrases(items.select("item_id", "text")), "windows")
     index = build_index(docs, wanted.select(F.explode("words").alias("word")).distinct())
     matches = stored(phrase_matches(index, wanted), "matches")
@@ -137,9 +141,16 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     listed = found.groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"))
     rows = index.where("word is null").select("doc", "doc_id", "n_words")
     return rows.join(hits, "doc", "left").join(listed, "doc", "left").select(
+        "doc",
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows, with all columns, in which no test phrase occurs."""
+    hit = stored(contamination(docs, items).where("contaminated").select(F.col("doc").alias("hit_doc")).distinct(), "hits")
+    return docs.join(small_side(hit), document_key() == F.col("hit_doc"), "left_anti")

@@ -209,3 +209,14 @@ def score(docs: DataFrame, net: Network, column: str = "score") -> DataFrame:
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_type}, {column} double")
+
+
+def accepted(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all columns, whose probability reaches the threshold."""
+
+    def run(batches):
+        for batch in blocks(batches):
+            keep = probabilities(net, utf8(batch.column("text"))) >= threshold
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataledger.llm.common import small_side
+
 BUCKETS = 1 << 13
 SMOOTHING = 1.0
 THRESHOLD = -0.07
@@ -27,8 +29,6 @@ MOST_REPEATED_PERCENT = 50
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
-# Ids up to this number are sent to all tasks (8 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -99,9 +99,7 @@ def buckets_of(words: Column) -> Column:
 def ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """log(target share / raw share) of every bucket; ``trusted`` holds column doc_id."""
     ids = trusted.select("doc_id", F.lit(1).alias("target")).where("doc_id is not null").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
+    marked = docs.select("doc_id", "text").join(small_side(ids), "doc_id", "left")
     grams = marked.select("target", F.explode(bound(words_of(F.col("text")), buckets_of)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("target").alias("target"))
     rows = counts.collect()  # at most BUCKETS rows
