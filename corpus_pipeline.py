@@ -1,19 +1,57 @@
-"""A corpus from documents to packed sequences: each stage applies one operator of ``strataledger.llm``."""
+"""A corpus from documents to packed sequences: each stage applies one operator of ``strataledger.llm``.
+
+All stages but the last return the columns of ``documents``; every stage works on all rows that its predecessor
+kept. An empty table stays empty, null texts pass the filters and are packed as empty ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strataledger.llm import near_duplicates, packing, personal_data, positional_index, quality_cnn
+from strataledger.llm.common import stored, table, tuned
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the byte-level network rejects."""
+    return quality_cnn.accepted(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    tuned(spark)
+    return near_duplicates.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark phrase."""
+    return positional_index.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
 
-from strataledger.llm.common import stored, table
-from strataledger.llm.packing import pack
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    tuned(spark)
+    clean = personal_data.redact(docs, personal_data.fit(docs))
+    if "n_chars" not in docs.columns:
+        return clean
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", size)
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of the documents that are left."""
-    return pack(docs)
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of what is left."""
+    tuned(spark)
+    return packing.pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", pack),
+]
 
 # The stages that train models and pack tokens have no SQL; tests hold them against plain Python.
 ORACLE_SQL = None
