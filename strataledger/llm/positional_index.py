@@ -63,7 +63,7 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     )
     tokens = tokens.where("raw is null or raw != ''").withColumn("word", ascii_lower(F.col("raw")))
     known = terms.select("word", F.lit(True).alias("known"))
-    kept = tokens.join(known, "word", "left").where("known or raw is null")
+    kept = tokens.join(small_side(known), "word", "left").where("known or raw is null")
     own = F.col("word").isNull()
     return stored(
         kept.select("doc", F.when(own, F.col("doc_id")).alias("doc_id"), F.when(own, F.col("n_words")).alias("n_words"), "word", "pos"),
@@ -93,20 +93,21 @@ def phrase_matches(index: DataFrame, wanted: DataFrame) -> DataFrame:
         return ranked.where(F.size("terms") > place).select("phrase", "n", term["word"].alias("word"), term["offset"].alias("offset"))
 
     # A repeated row has the same postings twice.
-    rarest = postings(index).join(lists(0), "word").select("phrase", "n", "doc", (F.col("pos") - F.col("offset")).alias("start"))
+    rarest = postings(index).join(small_side(lists(0)), "word").select("phrase", "n", "doc", (F.col("pos") - F.col("offset")).alias("start"))
     starts = stored(rarest.where("start >= 0").distinct(), "starts")
     single = starts.where("n = 1")
     second = starts.where("n > 1").join(lists(1).drop("n"), "phrase")
     second = second.withColumn("pos", F.col("start") + F.col("offset"))
-    in_docs = postings(index).join(lists(1).select("word").distinct(), "word", "left_semi")
-    in_docs = in_docs.join(starts.select("doc").distinct(), "doc", "left_semi").distinct()
-    both = stored(second.join(in_docs, ["doc", "pos", "word"]).select("phrase", "n", "doc", "start"), "starts")
+    in_docs = postings(index).join(small_side(lists(1).select("word").distinct()), "word", "left_semi")
+    in_docs = in_docs.join(small_side(starts.select("doc").distinct()), "doc", "left_semi").distinct()
+    # Both sides grow with the documents, so both are sorted.
+    both = stored(second.hint("merge").join(in_docs, ["doc", "pos", "word"]).select("phrase", "n", "doc", "start"), "starts")
     others = ranked.select("phrase", F.explode(F.slice("terms", 3, WINDOW)).alias("term"))
     asked = both.where("n > 2").join(others, "phrase").select(
         "phrase", "n", "doc", "start", (F.col("start") + F.col("term.offset")).alias("pos"), F.col("term.word").alias("word")
     )
-    left = postings(index).join(both.select("doc").distinct(), "doc", "left_semi").distinct()
-    complete = asked.join(left, ["doc", "pos", "word"]).groupBy("phrase", "n", "doc", "start").agg(F.count(F.lit(1)).alias("found"))
+    left = postings(index).join(small_side(both.select("doc").distinct()), "doc", "left_semi").distinct()
+    complete = asked.hint("merge").join(left, ["doc", "pos", "word"]).groupBy("phrase", "n", "doc", "start").agg(F.count(F.lit(1)).alias("found"))
     whole = complete.where(F.col("found") == F.col("n") - 2).select("phrase", "n", "doc", "start")
     return single.union(both.where("n = 2")).union(whole).select("doc", "phrase", "n", "start")
 
