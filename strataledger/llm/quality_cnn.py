@@ -29,7 +29,7 @@ WIDTH = 6
 FILTERS = 16
 TRAIN_ROWS = 3000
 TRAIN_CHUNKS = 6
-EPOCHS = 12
+STEPS = 560  # of 64 documents each, however few there are
 THRESHOLD = 0.3
 SIZES = 4
 FEATURES = 3 * FILTERS + SIZES
@@ -121,7 +121,7 @@ def train(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, seed:
     sized = size_features(sizes)
     moments = {name: [0.0, 0.0] for name in ("tables", "offset", "weights", "bias")}
     step = 0
-    for epoch in range(EPOCHS):
+    while step < STEPS:
         order = rng.permutation(len(labels))
         for low in range(0, len(order), 64):
             own = order[low : low + 64]
@@ -158,7 +158,7 @@ def train(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, seed:
                 "bias": error.sum(),
             }
             step += 1
-            rate = 0.02 * (1 - epoch / EPOCHS) + 0.002
+            rate = 0.02 * max(0.0, 1 - step / STEPS) + 0.002
             for name, gradient in gradients.items():
                 first, second = moments[name]
                 first = 0.9 * first + 0.1 * gradient
