@@ -36,6 +36,11 @@ class Layers:
     def bronze(self) -> DataFrame:
         return feeds.event_transactions(self.spark, self.sf_dir)
 
+    @cached_property
+    def batch_end(self) -> str:
+        """The last file date of the feed."""
+        return str(self.bronze.agg(F.max("date")).first()[0])
+
     @cached_property
     def bronze_accounts(self) -> DataFrame:
         return feeds.customer_accounts(self.spark, self.sf_dir)
@@ -118,7 +123,7 @@ class Layers:
 
     @cached_property
     def second_weeks(self) -> DataFrame:
-        return self.open_weeks(self.silver_table, self.first_weeks, feeds.BATCH_END)
+        return self.open_weeks(self.silver_table, self.first_weeks, self.batch_end)
 
     @cached_property
     def second_weekly(self) -> DataFrame:
@@ -131,7 +136,7 @@ class Layers:
 
     @cached_property
     def all_weeks(self) -> DataFrame:
-        return self.open_weeks(self.silver_table, self.no_weeks, feeds.BATCH_END)
+        return self.open_weeks(self.silver_table, self.no_weeks, self.batch_end)
 
     @cached_property
     def all_weekly(self) -> DataFrame:

@@ -52,7 +52,7 @@ def next_batch_date(layers):
          UNION ALL SELECT 'accounts', date FROM days WHERE date NOT IN (SELECT date FROM bronze_accounts)""",
 )
 def missing_source_dates(layers):
-    days = days_between(layers.spark, "2024-01-01", feeds.BATCH_END)
+    days = days_between(layers.spark, "2024-01-01", layers.batch_end)
 
     def absent(entity, rows):
         return checks.absent_dates(days, rows, "date").select(F.lit(entity).alias("entity"), "date")
@@ -337,7 +337,7 @@ def _log_until(layers, day):
           FROM bronze WHERE date <= {END} GROUP BY date""",
 )
 def runlog_dedup(layers):
-    return runlog.last_entries(_log_until(layers, feeds.BATCH_END), "attempt")
+    return runlog.last_entries(_log_until(layers, layers.batch_end), "attempt")
 
 
 @query(
@@ -354,9 +354,8 @@ def untraceable_runs(layers):
 @query(
     "unlogged_run",
     with_(BRONZE)
-    + """SELECT 'now' AS run_id, 'UNLOGGED_RUN' AS model_name, 'ORCHESTRATION' AS layer, 'FAILED' AS status,
-         'Run log flush failed for prior run run-' || strftime(MAX(date), '%Y-%m-%d')
-         || '. Data was written successfully.' AS error_message FROM bronze""",
+    + f"""SELECT 'now' AS run_id, 'UNLOGGED_RUN' AS model_name, 'ORCHESTRATION' AS layer, 'FAILED' AS status,
+         'run-' || strftime(MAX(date), '%Y-%m-%d') || '{runlog.UNLOGGED_NOTE}' AS error_message FROM bronze""",
 )
 def unlogged_run(layers):
     mark = layers.bronze.agg(F.max("date").alias("last_processed_date"))
@@ -408,7 +407,7 @@ def latest_week(layers):
           INTERVAL 1 DAY)) AS DATE) AS date) WHERE date NOT IN (SELECT transaction_date FROM first_run_silver)""",
 )
 def expected_dates_absent(layers):
-    days = days_between(layers.spark, "2024-01-01", feeds.BATCH_END)
+    days = days_between(layers.spark, "2024-01-01", layers.batch_end)
     return checks.absent_dates(days, layers.first_run_silver)
 
 

@@ -229,6 +229,11 @@ def lineitem_bronze(layers):
     return feeds.audited(rows, "lineitem")
 
 
+def last_day(rows) -> str:
+    """The last transaction date present; weeks that end by then are complete."""
+    return str(rows.agg(F.max("transaction_date")).first()[0])
+
+
 def order_silver(layers):
     return volume_silver(
         layers, feeds.order_transactions(layers.spark, layers.sf_dir), feeds.order_codes(layers.spark)
@@ -246,13 +251,13 @@ def daily_orders(layers):
 
 @query(
     "weekly_customer_orders",
-    with_(*ORDER_LAYERS, weekly("weekly", "silver", "accounts", "week + 6 <= DATE '2001-07-29'"))
+    with_(*ORDER_LAYERS, weekly("weekly", "silver", "accounts", "week + 6 <= (SELECT MAX(transaction_date) FROM bronze)"))
     + f"SELECT {WEEKLY_COLUMNS} FROM weekly",
 )
 def weekly_customer_orders(layers):
     silver = order_silver(layers)
     dates = feeds.order_transactions(layers.spark, layers.sf_dir)
-    weeks = layers.listed(wk.uncomputed_weeks(dates, layers.no_weeks, "2001-07-29"))
+    weeks = layers.listed(wk.uncomputed_weeks(dates, layers.no_weeks, last_day(dates)))
     return wk.weekly_summary(silver, feeds.order_codes(layers.spark), layers.accounts, weeks)
 
 
@@ -283,11 +288,11 @@ def daily_lineitems(layers):
 
 @query(
     "weekly_customer_lineitems",
-    with_(*LINEITEM_LAYERS, weekly("weekly", "silver", "accounts", "week + 6 <= DATE '2001-07-29'"))
+    with_(*LINEITEM_LAYERS, weekly("weekly", "silver", "accounts", "week + 6 <= (SELECT MAX(transaction_date) FROM bronze)"))
     + f"SELECT {WEEKLY_COLUMNS} FROM weekly",
 )
 def weekly_customer_lineitems(layers):
     silver = lineitem_silver(layers)
     bronze_dates = layers.table("lineitem").select(F.to_date("l_shipdate").alias("transaction_date"))
-    weeks = layers.listed(wk.uncomputed_weeks(bronze_dates, layers.no_weeks, "2001-07-29"))
+    weeks = layers.listed(wk.uncomputed_weeks(bronze_dates, layers.no_weeks, last_day(bronze_dates)))
     return wk.weekly_summary(silver, feeds.lineitem_codes(layers.spark), layers.accounts, weeks)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from strataledger.sources.feeds import ACCOUNT_DATES, BATCH_END, FIRST_RUN_END
+from strataledger.sources.feeds import ACCOUNT_DATES, FIRST_RUN_END
 
 FIRST = f"DATE '{FIRST_RUN_END}'"
-END = f"DATE '{BATCH_END}'"
+END = "(SELECT MAX(date) FROM bronze)"
 
 
 def _bronze(file_date: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataledger.functions.rules import account_reason
 from strataledger.operators.joins import latest_per_key, replace_by_key
-from strataledger.schemas import QUARANTINE_ACCOUNTS, SILVER_ACCOUNTS_STORED, SILVER_CODES
+from strataledger.schemas import POSITION, QUARANTINE_ACCOUNTS, SILVER_ACCOUNTS_STORED, SILVER_CODES
 
 
 def classify_accounts(bronze: DataFrame) -> DataFrame:
@@ -37,12 +37,14 @@ def first_seen(passing_rows: DataFrame) -> DataFrame:
 
 def incoming_accounts(passing_rows: DataFrame, tag: str | None = None) -> DataFrame:
     """The batch as snapshot rows: latest content and earliest file date, in one aggregate."""
-    order = ["date"] + ([tag] if tag else [])
-    rest = [name for name in passing_rows.columns if name != "account_id" and name not in order]
+    position = (F.col(tag) if tag else F.lit(None)).cast(POSITION)
+    rows = passing_rows.withColumn("_file_position", position)
+    order = ["date", "_file_position"]
+    rest = [name for name in rows.columns if name != "account_id" and name not in order]
     return (
-        passing_rows.groupBy("account_id")
+        rows.groupBy("account_id")
         .agg(F.max(F.struct(*order, *rest)).alias("_row"), F.min("date").alias("_first_seen_date"))
-        .select("account_id", "_row.*", "_first_seen_date")
+        .select("account_id", "_row.*", "_first_seen_date", F.col("_row.date").alias("_file_date"))
         .withColumnRenamed("_ingested_at", "_bronze_ingested_at")
         .withColumn("_record_valid_from", F.current_timestamp())
         .select(*SILVER_ACCOUNTS_STORED.fieldNames())
@@ -50,21 +52,26 @@ def incoming_accounts(passing_rows: DataFrame, tag: str | None = None) -> DataFr
 
 
 def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """A delta row replaces the stored row of its account; absent accounts are kept.
+    """The later row of an account stays, by file date and place in the file; absent accounts are kept.
 
-    The date on which an account was first seen survives the replacement. The lookup reads only the
-    accounts of the delta, so the snapshot is not shuffled when the delta can be broadcast.
+    So an older file that is promoted again changes nothing, and a newer one replaces the row. The
+    date on which an account was first seen survives the replacement. Only stored rows of the delta's
+    accounts are compared, so the snapshot is not shuffled when the delta can be broadcast.
     """
-    earlier = (
-        existing.select("account_id", F.col("_first_seen_date").alias("_earlier"))
-        .join(incoming.select("account_id"), "account_id", "left_semi")
+    columns = SILVER_ACCOUNTS_STORED.fieldNames()
+    stored = existing.join(incoming.select("account_id"), "account_id", "left_semi").select(*columns, F.lit(0).alias("_new"))
+    both = stored.unionByName(incoming.select(*columns, F.lit(1).alias("_new")))
+    # Rows of the same file and place are the same source row: the newly promoted one is taken.
+    order = ["_file_date", "_file_position", "_new"]
+    rest = [name for name in columns if name != "account_id" and name not in order]
+    later = (
+        both.groupBy("account_id")
+        .agg(F.max(F.struct(*order, *rest)).alias("_row"), F.min("_first_seen_date").alias("_earliest"))
+        .select("account_id", "_row.*", "_earliest")
+        .withColumn("_first_seen_date", F.col("_earliest"))
+        .select(*columns)
     )
-    carried = (
-        incoming.join(earlier, "account_id", "left")
-        .withColumn("_first_seen_date", F.least("_first_seen_date", "_earlier"))
-        .drop("_earlier")
-    )
-    return replace_by_key(existing, carried, "account_id")
+    return replace_by_key(existing, later, "account_id")
 
 
 def promote_codes(bronze: DataFrame) -> DataFrame:

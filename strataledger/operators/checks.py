@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from strataledger.functions.dates import week_start
 from strataledger.functions.measures import count_if
@@ -232,12 +232,17 @@ def absent_dates(expected: DataFrame, present: DataFrame, column: str = "transac
 def content_digest(rows: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """Row count and an order-free content hash, to compare a table before and after a re-run."""
     skipped = set(exclude)
-    columns: list[Column] = []
-    for field in sorted(rows.schema.fields, key=lambda f: f.name):
-        if field.name in skipped:
-            continue
-        value = F.col(f"`{field.name}`")
+
+    def leaves(value: Column, kind) -> list[Column]:
+        """A null flag and the value of every field; the hash function skips nulls, the flags do not."""
+        flag = value.isNull()
+        if isinstance(kind, StructType):
+            inner = sorted(kind.fields, key=lambda f: f.name)
+            return [flag, *[leaf for f in inner for leaf in leaves(value.getField(f.name), f.dataType)]]
         # Minus zero and zero are the same value.
-        columns.append(value + F.lit(0.0) if isinstance(field.dataType, (DoubleType, FloatType)) else value)
+        return [flag, value + F.lit(0.0) if isinstance(kind, (DoubleType, FloatType)) else value]
+
+    fields = [f for f in sorted(rows.schema.fields, key=lambda f: f.name) if f.name not in skipped]
+    columns = [leaf for f in fields for leaf in leaves(F.col(f"`{f.name}`"), f.dataType)]
     row_hash = F.xxhash64(*columns).cast("decimal(38,0)")
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(row_hash), F.lit(0)).alias("content_hash"))

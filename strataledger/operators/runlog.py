@@ -18,6 +18,10 @@ CODE_STEPS = (("bronze_transaction_codes", "BRONZE"), ("silver_transaction_codes
 GOLD_STEPS = (("gold_daily_summary", "GOLD"), ("gold_weekly_account_summary", "GOLD"))
 
 
+# What a later run notes about a run whose log rows are missing; it follows the run id.
+UNLOGGED_NOTE = " moved the watermark, so its data is published, but it left no log rows"
+
+
 def last_entries(log: DataFrame, sequence: str) -> DataFrame:
     """One row per (run, step, date): the entry with the greatest ``sequence``."""
     return latest_per_key(log, ["run_id", "model_name", "target_date"], [sequence])
@@ -31,9 +35,7 @@ def lost_runs(control: DataFrame, log: DataFrame) -> DataFrame:
 
 def lost_run_rows(lost: DataFrame, current_run_id: str) -> DataFrame:
     """The log row that records a lost run on behalf of the current run."""
-    note = F.concat(
-        F.lit("Run log flush failed for prior run "), F.col("run_id"), F.lit(". Data was written successfully.")
-    )
+    note = F.concat(F.col("run_id"), F.lit(UNLOGGED_NOTE))
     return lost.select(
         F.lit(current_run_id).alias("run_id"),
         F.lit("UNLOGGED_RUN").alias("model_name"),

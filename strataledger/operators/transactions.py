@@ -37,9 +37,12 @@ def _as_is(df: DataFrame, name: str) -> DataFrame:
 
 
 def _position(dup_scope: str, tag: str) -> Column:
+    """Order of a row: its file date, or its place in the whole batch as one number. Numbers and dates can
+    be aggregated by hash; a struct would sort the batch."""
     if dup_scope == SCOPE_HISTORY:
         return F.col("date")
-    return F.struct("date", tag)
+    day = F.unix_date("date").cast("decimal(8,0)") * F.lit(str(10**27)).cast("decimal(28,0)")
+    return (day + F.coalesce(F.col(tag).cast("decimal(27,0)"), F.lit(0).cast("decimal(27,0)"))).cast("decimal(38,0)")
 
 
 def blocked_ids(candidates: DataFrame, history: DataFrame | None, position: Column, stage: Stage = _as_is) -> DataFrame:

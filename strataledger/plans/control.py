@@ -6,18 +6,20 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from strataledger.operators.runlog import checked_control, lost_runs
+from strataledger.operators.runlog import checked_control, lost_run_rows, lost_runs
 from strataledger.sources.warehouse import Warehouse, now
 
 
 def get_watermark(wh: Warehouse) -> dt.date | None:
-    """Last processed file date, or None before the first run."""
-    row = wh.snapshot("pipeline/control").select("last_processed_date").first()
+    """Last processed file date, or None before the first run; a malformed control table fails."""
+    row = checked_control(wh.snapshot("pipeline/control")).select("last_processed_date").first()
     return row[0] if row else None
 
 
 def advance_watermark(wh: Warehouse, day: dt.date, run_id: str) -> None:
-    """Replace the control row. Called last, after Gold and the week registry."""
+    """Replace the control row. Called last, after Gold and the week registry. An older range that runs
+    again leaves the date where it is."""
+    day = max(day, get_watermark(wh) or day)
     row = wh.frame([(day, now(), run_id)], wh.SNAPSHOT["pipeline/control"])
     wh.publish_snapshot(row, "pipeline/control", run_id)
 
@@ -31,11 +33,10 @@ def record_weeks(wh: Warehouse, weeks: list[tuple], run_id: str) -> None:
     wh.append("pipeline/weeks", [(start, end, now(), run_id) for start, end in weeks])
 
 
-def lost_run(wh: Warehouse) -> str | None:
-    """Run id in the control row without any log row; a malformed control table fails."""
+def lost_run_entries(wh: Warehouse, run_id: str) -> list:
+    """Log rows for the run that wrote the control row but no log; a malformed control table fails."""
     control = checked_control(wh.snapshot("pipeline/control"))
-    row = lost_runs(control, wh.appended("pipeline/run_log")).first()
-    return row[0] if row else None
+    return lost_run_rows(lost_runs(control, wh.appended("pipeline/run_log")), run_id).collect()
 
 
 def latest_registered_week(wh: Warehouse):

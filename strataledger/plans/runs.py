@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from strataledger import schemas
 from strataledger.functions.audit import new_run_id
-from strataledger.operators.runlog import CODE_STEPS, DATE_STEPS, GOLD_STEPS
+from strataledger.functions.dates import days_between
+from strataledger.operators.runlog import CODE_STEPS, DATE_STEPS, GOLD_STEPS, skipped_steps
 from strataledger.operators.transactions import SCOPE_BATCH
 from strataledger.plans import control, steps
 from strataledger.plans.steps import Batch
@@ -58,10 +59,9 @@ def historical(wh: Warehouse, start: str, end: str, options: RunOptions | None =
     gaps = sorted(f"{row[0]}_{row[1]}.csv" for row in missing_sources(wh.spark, wh.source, start, end).collect())
     if gaps:
         raise ValueError(f"missing source files: {', '.join(gaps)}")
-    wh.refresh()
     run_id = new_run_id()
     log = RunLog(run_id)
-    recover_lost_run(wh, log)
+    read_control(wh, log)
     with_codes(wh, log)
     size = options.days_per_batch or (last - first).days + 1
     day = first
@@ -76,30 +76,30 @@ def historical(wh: Warehouse, start: str, end: str, options: RunOptions | None =
 def incremental(wh: Warehouse, options: RunOptions | None = None) -> str | None:
     """The file date after the watermark. None when one of its files has not arrived."""
     options = options or RunOptions()
-    wh.refresh()
-    mark = control.get_watermark(wh)
+    log = RunLog(new_run_id())
+    mark = read_control(wh, log)
     if mark is None:
         raise RuntimeError("no watermark: run a historical range first")
     day = mark + dt.timedelta(days=1)
     if missing_sources(wh.spark, wh.source, str(day), str(day)).limit(1).count():
         return None
-    log = RunLog(new_run_id())
-    recover_lost_run(wh, log)
     run_batch(wh, Batch(day, day, log.run_id), day, log, options)
     finish(wh, day, log, options)
     return log.run_id
 
 
-def recover_lost_run(wh: Warehouse, log: RunLog) -> None:
+def read_control(wh: Warehouse, log: RunLog) -> dt.date | None:
+    """The watermark. Notes a run that lost its log; state that cannot be read leaves a FAILED row and halts."""
     try:
-        lost = control.lost_run(wh)
+        wh.refresh()
+        mark = control.get_watermark(wh)
+        for row in control.lost_run_entries(wh, log.run_id):
+            log.add(row["model_name"], row["layer"], row["status"], error=row["error_message"])
     except Exception as error:
-        log.add("CONTROL_PLANE", "ORCHESTRATION", "FAILED", error=f"Control plane read failed: {error}")
+        log.add("CONTROL_PLANE", "ORCHESTRATION", "FAILED", error=f"control state: {error}")
         log.flush(wh)
         raise
-    if lost:
-        note = f"Run log flush failed for prior run {lost}. Data was written successfully."
-        log.add("UNLOGGED_RUN", "ORCHESTRATION", "FAILED", error=note)
+    return mark
 
 
 def with_codes(wh: Warehouse, log: RunLog) -> None:
@@ -113,7 +113,7 @@ def with_codes(wh: Warehouse, log: RunLog) -> None:
         log.flush(wh)
         raise
     for (model, layer), written in zip(CODE_STEPS, (bronze, silver)):
-        log.add(model, layer, "SUCCESS", started=started, written=written)
+        log.add(model, layer, "SUCCESS", started=started, processed=written, written=written)
 
 
 def run_batch(wh: Warehouse, batch: Batch, last: dt.date, log: RunLog, options: RunOptions) -> None:
@@ -123,37 +123,35 @@ def run_batch(wh: Warehouse, batch: Batch, last: dt.date, log: RunLog, options:
         started = now().isoformat()
         loaded = steps.load_bronze(wh, batch, "accounts", schemas.SOURCE_ACCOUNTS)
         for d in batch.dates:
-            log.add(model, "BRONZE", "SUCCESS", d, started, written=loaded[d])
+            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d], loaded[d])
         model, started = "silver_accounts", now().isoformat()
-        total, rejected = steps.promote_accounts(wh, batch)
+        total, read, rejected = steps.promote_accounts(wh, batch)
         for d in batch.dates:
-            log.add(model, "SILVER", "SUCCESS", d, started, written=total, rejected=rejected[d])
+            log.add(model, "SILVER", "SUCCESS", d, started, read[d], total, rejected[d])
         model, started = "bronze_transactions", now().isoformat()
         loaded = steps.load_bronze(wh, batch, "transactions", schemas.SOURCE_TRANSACTIONS)
         for d in batch.dates:
-            log.add(model, "BRONZE", "SUCCESS", d, started, written=loaded[d])
+            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d], loaded[d])
         model, started = "silver_transactions", now().isoformat()
         kept, rejected = steps.promote_transactions(wh, batch, options.dup_scope)
         for d in batch.dates:
             log.add(model, "SILVER", "SUCCESS", d, started, kept[d] + rejected[d], kept[d], rejected[d])
     except Exception as error:
-        skip_after(log, batch, last, model, error)
+        skip_after(wh, log, batch, last, model, error)
         log.flush(wh)
         raise
 
 
-def skip_after(log: RunLog, batch: Batch, last: dt.date, model: str, error: Exception) -> None:
+def skip_after(wh: Warehouse, log: RunLog, batch: Batch, last: dt.date, model: str, error: Exception) -> None:
     """The failed step on every date of its batch; all steps not reached are SKIPPED."""
     layers = dict(DATE_STEPS)
     for d in batch.dates:
         log.add(model, layers[model], "FAILED", d, error=str(error))
-    later = (last - batch.start).days + 1
-    for d in (batch.start + dt.timedelta(days=i) for i in range(later)):
-        for name, layer in DATE_STEPS:
-            if not log.has(name, d):
-                log.add(name, layer, "SKIPPED", d)
-    for name, layer in GOLD_STEPS:
-        log.add(name, layer, "SKIPPED")
+    days = days_between(wh.spark, str(batch.start), str(last))
+    # One row per step and day of the range.
+    for row in skipped_steps(days, str(batch.start), model).collect():
+        if not log.has(row["model_name"], row["target_date"]):
+            log.add(row["model_name"], row["layer"], row["status"], row["target_date"])
 
 
 def finish(wh: Warehouse, last: dt.date, log: RunLog, options: RunOptions) -> None:
@@ -170,8 +168,9 @@ def finish(wh: Warehouse, last: dt.date, log: RunLog, options: RunOptions) -> No
         log.add(*failed, "FAILED", error=str(error))
         log.flush(wh)
         raise
-    log.add(*GOLD_STEPS[0], "SUCCESS", started=started, written=daily)
-    log.add(*GOLD_STEPS[1], "SUCCESS", started=started, written=weekly)
+    read_daily, read_weekly = steps.rows_behind_gold(wh, sorted(weeks))
+    log.add(*GOLD_STEPS[0], "SUCCESS", started=started, processed=read_daily, written=daily)
+    log.add(*GOLD_STEPS[1], "SUCCESS", started=started, processed=read_weekly, written=weekly)
     try:
         control.record_weeks(wh, sorted(weeks), log.run_id)
         control.advance_watermark(wh, last, log.run_id)

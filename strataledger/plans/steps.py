@@ -67,7 +67,7 @@ def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) ->
     table = f"bronze/{entity}"
     paths = [f"{wh.source}/{entity}_{d}.csv" for d in todo]
     # No shuffle: every split belongs to one file, so to one date.
-    rows = bronze_rows(wh.spark, paths, schema, batch.run_id)
+    rows = bronze_rows(wh.spark, paths, schema, batch.run_id, wh.multiline)
     for d in todo:
         remove(wh.spark, f"{wh.path(table)}/date={d}")
     rows.write.mode("append").partitionBy("date").parquet(wh.path(table))
@@ -81,27 +81,31 @@ def load_codes(wh: Warehouse, run_id: str) -> tuple[int, int]:
     """Ingest the code list once and promote it. A repeated code would multiply rows, so it fails."""
     written = 0
     if wh.version("bronze/transaction_codes") == 0:
-        rows = bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], schemas.SOURCE_CODES, run_id).drop("date")
+        rows = bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], schemas.SOURCE_CODES, run_id, wh.multiline).drop("date", "_source_position")
         written = wh.publish_snapshot(rows, "bronze/transaction_codes", run_id)
     codes = acc.promote_codes(wh.snapshot("bronze/transaction_codes"))
-    repeated = duplicate_keys(codes, ["transaction_code"]).limit(5).collect()
+    repeated = duplicate_keys(codes.where("transaction_code IS NOT NULL"), ["transaction_code"]).limit(5).collect()
     if repeated:
         raise DataQualityError(f"transaction codes repeat: {[row[0] for row in repeated]}")
     return written, wh.publish_snapshot(codes, "silver/transaction_codes", run_id)
 
 
-def promote_accounts(wh: Warehouse, batch: Batch) -> tuple[int, dict]:
-    """Upsert the accepted account rows of the batch; quarantine the others per file date."""
+def promote_accounts(wh: Warehouse, batch: Batch) -> tuple[int, dict, dict]:
+    """Upsert the accepted account rows of the batch; quarantine the others per file date. Returns the size of
+    the snapshot, and rows read and rejected per date."""
     bronze = wh.dated_with_position("bronze/accounts", *batch.bounds)
+    read = {d: 0 for d in batch.dates} | {row[0]: row[1] for row in bronze.groupBy("date").count().collect()}
     classified = acc.classify_accounts(bronze)
     rejects = by_partition(acc.rejected_accounts(classified), "date", len(batch.dates))
     rejected, path = wh.stage(rejects, "rejected-accounts", ["date"])
-    incoming = acc.incoming_accounts(acc.passing(classified), "_row_tag")
-    snapshot = acc.upsert(wh.snapshot("silver/accounts"), incoming)
-    total = wh.publish_snapshot(snapshot, "silver/accounts", batch.run_id)
-    counts = wh.publish_partitions(rejected, "quarantine/accounts", "date", batch.dates)
-    remove(wh.spark, path)
-    return total, counts
+    try:
+        incoming = acc.incoming_accounts(acc.passing(classified), "_row_tag")
+        snapshot = acc.upsert(wh.snapshot("silver/accounts"), incoming)
+        total = wh.publish_snapshot(snapshot, "silver/accounts", batch.run_id)
+        counts = wh.publish_partitions(rejected, "quarantine/accounts", "date", batch.dates)
+    finally:
+        remove(wh.spark, path)
+    return total, read, counts
 
 
 def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE_BATCH) -> tuple[dict, dict]:
@@ -110,11 +114,19 @@ def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE
     The classified rows are written once to the shared folder, so both outputs come from one pass,
     and nothing is published unless bronze = accepted + rejected holds for every date.
     """
+    scratch: list[str] = []
+    try:
+        return _promote_transactions(wh, batch, dup_scope, scratch)
+    finally:
+        for folder in scratch:
+            remove(wh.spark, folder)
+
+
+def _promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str, scratch: list[str]) -> tuple[dict, dict]:
     bronze = wh.dated_with_position("bronze/transactions", *batch.bounds)
     history = outside_range(wh.dated("silver/transactions"), *batch.bounds).select("transaction_id")
     if history.isEmpty():  # a first load has no other dates to compare with
         history = None
-    scratch = []
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
         table, path = wh.stage(rows, name)
@@ -138,8 +150,6 @@ def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE
     partials, path = wh.stage(measures, "daily-measures", ["date"])
     scratch.append(path)
     wh.publish_partitions(partials, wh.PARTIALS, "date", batch.dates)
-    for folder in scratch:
-        remove(wh.spark, folder)
     return accepted, rejected
 
 
@@ -148,6 +158,15 @@ def daily_measures(wh: Warehouse) -> DataFrame:
     return wh.partials(schemas.DAILY_MEASURES)
 
 
+def rows_behind_gold(wh: Warehouse, weeks: list[tuple]) -> tuple[int, int]:
+    """Silver rows behind the daily summary, and resolvable ones behind the given weeks."""
+    in_weeks = F.trunc("transaction_date", "week").isin([start for start, _ in weeks])
+    measured = daily_measures(wh).agg(
+        F.coalesce(F.sum("silver_rows"), F.lit(0)), F.coalesce(F.sum(F.when(in_weeks, F.col("total_transactions"))), F.lit(0))
+    )
+    return tuple(measured.first())
+
+
 def open_weeks(wh: Warehouse, through: dt.date) -> DataFrame:
     """Complete weeks with resolvable rows that the registry does not name."""
     dates = daily_measures(wh).where(F.col("total_transactions") > 0).select("transaction_date")
@@ -184,6 +203,8 @@ def publish_weekly(wh: Warehouse, weeks: list[tuple], run_id: str, balance_at: s
             summary = wk.with_run_end_balance(measures, wh.snapshot("silver/accounts"))
         rows = by_partition(wk.gold_weekly(summary, run_id), "week_start_date", len(weeks))
         staged, path = wh.stage(rows, "weekly", ["week_start_date"])
-        wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", starts)
-        remove(wh.spark, path)
+        try:
+            wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", starts)
+        finally:
+            remove(wh.spark, path)
     return wh.weekly().count()

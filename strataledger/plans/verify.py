@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataledger.functions.dates import week_start
 from strataledger.functions.rules import ACCOUNT_REASONS, TRANSACTION_REASONS
 from strataledger.operators import checks
-from strataledger.sources.files import bronze_rows, missing_sources
-from strataledger.sources.warehouse import Warehouse
+from strataledger.sources.files import bronze_rows, missing_sources, source_dates
+from strataledger.sources.warehouse import Warehouse, within
 from strataledger.schemas import SOURCE_ACCOUNTS, SOURCE_CODES, SOURCE_TRANSACTIONS
 
 AUDIT = ("_source_file", "_ingested_at", "_pipeline_run_id")
@@ -28,20 +29,40 @@ def violations(wh: Warehouse, start: str, end: str) -> dict[str, DataFrame]:
         return rows.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
 
     def incomplete(entity: str, schema, table: DataFrame) -> DataFrame:
-        files = wh.spark.read.format("binaryFile").option("pathGlobFilter", f"{entity}_*.csv").load(wh.source)
-        paths = [row[0] for row in files.select("path").collect()]
-        if not paths:
-            return table.limit(0)
-        source = bronze_rows(wh.spark, paths, schema, "check").groupBy("date").agg(F.count(F.lit(1)).alias("expected"))
-        loaded = table.groupBy("date").agg(F.count(F.lit(1)).alias("loaded"))
-        pairs = loaded.join(source, "date", "left")
-        return pairs.where(F.col("loaded") != F.coalesce("expected", F.lit(0)))
+        """Dates of the range whose file and partition differ in rows, or that only one side has."""
+        listed = within(source_dates(wh.spark, wh.source, entity), start, end)
+        days = sorted(row[0] for row in listed.collect())  # the calendar bounds them
+        loaded = within(table, start, end).groupBy("date").agg(F.count(F.lit(1)).alias("loaded"))
+        if not days:
+            return loaded.withColumn("expected", F.lit(0).cast("long"))
+        paths = [f"{wh.source}/{entity}_{day}.csv" for day in days]
+        rows = bronze_rows(wh.spark, paths, schema, "check", wh.multiline)
+        source = rows.groupBy("date").agg(F.count(F.lit(1)).alias("expected"))
+        pairs = loaded.join(source, "date", "full")
+        return pairs.where(F.coalesce("loaded", F.lit(0)) != F.coalesce("expected", F.lit(0)))
+
+    def uneven(one: DataFrame, other: DataFrame) -> DataFrame:
+        return one.exceptAll(other).unionAll(other.exceptAll(one))
+
+    def seen_by_week(rows: DataFrame) -> DataFrame:
+        """Silver rows of file dates that were promoted before their week was computed. Later rows never enter it."""
+        done = log.where("model_name = 'silver_transactions' and status = 'SUCCESS'")
+        promoted = done.groupBy(F.col("target_date").cast("date").alias("date")).agg(
+            F.min(F.col("completed_at").cast("timestamp")).alias("promoted_at")
+        )
+        computed = registry.select("week_start_date", "computed_at")
+        placed = rows.withColumn("week_start_date", week_start(F.col("transaction_date")))
+        # The calendar bounds both lists. Without a log row for its date, a row counts as seen.
+        timed = placed.join(F.broadcast(promoted), "date", "left").join(F.broadcast(computed), "week_start_date", "left")
+        late = F.col("promoted_at") > F.col("computed_at")
+        return timed.where(~F.coalesce(late, F.lit(False))).select(*rows.columns)
 
     signed = silver.join(codes.select("transaction_code", "debit_credit_indicator"), "transaction_code")
     side, amount = F.col("debit_credit_indicator"), F.col("_signed_amount")
     registered = F.col("week_start_date").isNotNull()
     in_range = F.col("transaction_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    fresh_weekly = checks.weekly_from_silver(silver, codes)
+    seen = seen_by_week(silver)
+    fresh_weekly = checks.weekly_from_silver(seen, codes)
     days = wh.spark.range(1).select(
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date")
     )
@@ -49,10 +70,11 @@ def violations(wh: Warehouse, start: str, end: str) -> dict[str, DataFrame]:
         "source_files_missing": missing_sources(wh.spark, wh.source, start, end),
         "bronze_transactions_complete": incomplete("transactions", SOURCE_TRANSACTIONS, bronze),
         "bronze_accounts_complete": incomplete("accounts", SOURCE_ACCOUNTS, accounts_bronze),
-        "bronze_codes_complete": wh.snapshot("bronze/transaction_codes")
-        .select("transaction_code")
-        .exceptAll(
-            bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], SOURCE_CODES, "check").select("transaction_code")
+        "bronze_codes_complete": uneven(
+            wh.snapshot("bronze/transaction_codes").select("transaction_code"),
+            bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], SOURCE_CODES, "check", wh.multiline).select(
+                "transaction_code"
+            ),
         ),
         "bronze_transactions_audit": null(bronze, *AUDIT),
         "bronze_accounts_audit": null(accounts_bronze, *AUDIT),
@@ -89,7 +111,7 @@ def violations(wh: Warehouse, start: str, end: str) -> dict[str, DataFrame]:
         ),
         "weekly_without_active_day": checks.weekly_without_active_day(weekly, daily),
         "weekly_null_run_id": null(weekly, "_pipeline_run_id"),
-        "weekly_missing_pairs": checks.missing_weekly_pairs(silver, weekly, registry.where(registered)),
+        "weekly_missing_pairs": checks.missing_weekly_pairs(seen, weekly, registry.where(registered)),
         "weekly_spurious_pairs": checks.spurious_weekly_pairs(weekly, silver),
         "weekly_unregistered": checks.unregistered_weeks(weekly, registry),
         "silver_runs_traceable": checks.untraceable_runs([silver, accounts], log),

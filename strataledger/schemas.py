@@ -21,6 +21,8 @@ from pyspark.sql.types import (
 
 MONEY = DecimalType(18, 2)
 MONEY_SUM = DecimalType(38, 2)
+# Place of a row in its source file: first byte of the file's split, then the row in the split.
+POSITION = DecimalType(27, 0)
 
 
 def _schema(*columns: tuple) -> StructType:
@@ -67,8 +69,10 @@ def _plus(*parts: StructType) -> StructType:
 
 FILE_DATE = _schema(("date", D))
 
-BRONZE_TRANSACTIONS = _plus(SOURCE_TRANSACTIONS, BRONZE_AUDIT, FILE_DATE)
-BRONZE_ACCOUNTS = _plus(SOURCE_ACCOUNTS, BRONZE_AUDIT, FILE_DATE)
+SOURCE_POSITION = _schema(("_source_position", POSITION))
+
+BRONZE_TRANSACTIONS = _plus(SOURCE_TRANSACTIONS, BRONZE_AUDIT, SOURCE_POSITION, FILE_DATE)
+BRONZE_ACCOUNTS = _plus(SOURCE_ACCOUNTS, BRONZE_AUDIT, SOURCE_POSITION, FILE_DATE)
 BRONZE_CODES = _plus(SOURCE_CODES, BRONZE_AUDIT)
 
 SILVER_TRANSACTIONS = _plus(
@@ -96,7 +100,11 @@ SILVER_ACCOUNTS = _plus(
 )
 # The stored snapshot also keeps the file date on which an account was first accepted: the as-of
 # rule for resolvable transactions needs it, and deriving it again would re-read all of bronze.
-SILVER_ACCOUNTS_STORED = _plus(SILVER_ACCOUNTS, _schema(("_first_seen_date", D)))
+# File date and position say which of two rows of an account is the later one, also when an older
+# file is promoted again.
+SILVER_ACCOUNTS_STORED = _plus(
+    SILVER_ACCOUNTS, _schema(("_first_seen_date", D), ("_file_date", D), ("_file_position", POSITION))
+)
 
 SILVER_CODES = _plus(
     SOURCE_CODES,

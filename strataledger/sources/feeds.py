@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from strataledger.schemas import MONEY
 
-# Fixed values of the feed: account files arrive on these dates, runs end on these dates.
+# Fixed values of the feed: account files arrive on these dates, the first run ends on this date. The
+# second run ends with the last file that the events give.
 ACCOUNT_DATES = ("2024-01-01", "2024-01-10", "2024-01-16", "2024-01-25")
 FIRST_RUN_END = "2024-01-21"
-BATCH_END = "2024-02-03"
 
 
 # Stated schemas: no job is spent on reading them from a file.

@@ -9,29 +9,83 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, StringType, StructField, StructType
 
 from strataledger.functions.audit import file_date, ingest_columns
 from strataledger.functions.dates import days_between
 from strataledger.operators.checks import absent_dates
+from strataledger.schemas import MONEY, POSITION
 from strataledger.session import scratch_path
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
-    """CSV with header and stated types. A header that names other columns is an error; a value that
-    does not parse becomes null and is left to the quality rules."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)
+BROKEN = "_broken_row"
+
 
+def csv_options(reader, schema: StructType, multiline: bool = False):
+    """A CSV reader after RFC 4180: header, quoted separators, doubled quotes. All columns are read as text.
 
-def bronze_rows(spark: SparkSession, paths: list[str], schema: StructType, run_id: str) -> DataFrame:
-    """Source rows with audit columns and the file ``date``."""
-    name = F.col("_metadata.file_name")
+    ``multiline`` also accepts line breaks inside quotes; such files are not split, so one task reads each.
+    """
+    text = StructType([StructField(name, StringType()) for name in schema.fieldNames()] + [StructField(BROKEN, StringType())])
     return (
-        read_csv(spark, paths, schema)
-        .withColumns({**ingest_columns(name, run_id), "date": file_date(name)})
+        reader.schema(text)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("columnPruning", False)  # a query that needs few columns counts the fields of a row as well
+        .option("columnNameOfCorruptRecord", BROKEN)
     )
 
 
+def typed(column: str, kind: DataType) -> Column:
+    """A text column in its type, null if it does not parse. An amount with more decimal places than money
+    has is no amount either: rounding it would change the total."""
+    value = F.col(column)
+    if kind == MONEY:
+        exact = value.try_cast(DecimalType(38, 18))
+        return F.when(exact == F.round(exact, 2), exact).try_cast(MONEY)
+    return value.try_cast(kind)
+
+
+def scanned(raw: DataFrame) -> DataFrame:
+    """A CSV scan with its file name and the first byte of the row's split."""
+    return raw.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def csv_rows(scan: DataFrame, schema: StructType) -> DataFrame:
+    """Typed rows of ``scanned`` text with their ``_source_position`` and ``_file``; rows must come in the scan's order.
+
+    A row with another number of fields than the header, such as the first half of a quoted line break,
+    fails the scan: it would shift values into other columns, and no later check could tell.
+    """
+    within_split = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    place = F.col("_block").cast("decimal(15,0)") * F.lit(10**12).cast("decimal(13,0)")
+    placed = scan.withColumn("_source_position", (place + within_split.cast("decimal(12,0)")).cast(POSITION))
+    message = F.concat(F.lit("CSV row with a wrong number of fields: "), F.col(BROKEN))
+    # Spark does not read the column of broken rows alone, so the test also names a source column.
+    fine = F.col(BROKEN).isNull() & (F.coalesce(F.length(schema.fieldNames()[0]), F.lit(0)) >= 0)
+    whole = placed.where(F.when(fine, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return whole.select(*[typed(f.name, f.dataType).alias(f.name) for f in schema.fields], "_source_position", "_file")
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType, multiline: bool = False) -> DataFrame:
+    """Source rows with stated types. A header that names other columns is an error; a value that
+    does not parse becomes null and is left to the quality rules."""
+    return csv_rows(scanned(csv_options(spark.read, schema, multiline).csv(paths)), schema)
+
+
+def audited_rows(rows: DataFrame, run_id: str) -> DataFrame:
+    """Audit columns and the file ``date``, from column ``_file``."""
+    name = F.col("_file")
+    return rows.withColumns({**ingest_columns(name, run_id), "date": file_date(name)}).drop("_file")
+
+
+def bronze_rows(spark: SparkSession, paths: list[str], schema: StructType, run_id: str, multiline: bool = False) -> DataFrame:
+    """Source rows with their position, audit columns and the file ``date``."""
+    return audited_rows(read_csv(spark, paths, schema, multiline), run_id)
+
+
 def source_dates(spark: SparkSession, source: str, entity: str) -> DataFrame:
     """Dates for which a source file exists. Only the listing is used; no file is opened."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", f"{entity}_*.csv").load(source)
@@ -50,15 +104,6 @@ def missing_sources(spark: SparkSession, source: str, start: str, end: str) -> D
     return absent("accounts").unionByName(absent("transactions"))
 
 
-def row_position() -> Column:
-    """Order of a row within its table partition, from the data file and the row's place in it.
-
-    Bronze writes each file date in one job without a shuffle, so part files follow the source.
-    """
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
-    return part * F.lit(1 << 40) + F.col("_metadata.row_index")
-
-
 def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A few driver rows as a literal relation: the planner knows its size, and no Python worker runs."""
     names = schema.fieldNames()

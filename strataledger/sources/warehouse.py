@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,7 +12,7 @@ from pyspark.sql.types import StructType
 from strataledger import schemas
 from strataledger.schemas import _schema
 from strataledger.session import configure
-from strataledger.sources.files import local_frame, read_table, remove, row_position, written
+from strataledger.sources.files import local_frame, read_table, remove, written
 
 SNAPSHOTS = _schema(
     ("table_name", schemas.S), ("version", schemas.L), ("run_id", schemas.S), ("published_at", schemas.TS)
@@ -48,10 +47,12 @@ class Warehouse:
     WEEKLY = "gold/weekly_account_summary"
     PARTIALS = "silver/daily_measures"
 
-    def __init__(self, spark: SparkSession, root: str, source: str):
+    def __init__(self, spark: SparkSession, root: str, source: str, multiline: bool = False):
+        """``multiline``: source files may hold line breaks inside quotes."""
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.source = source.rstrip("/")
+        self.multiline = multiline
         self._versions: dict[str, int] | None = None
 
     def path(self, name: str) -> str:
@@ -66,12 +67,8 @@ class Warehouse:
         return read_table(self.spark, self.path(name), self.DATED[name])
 
     def dated_with_position(self, name: str, start: str, end: str) -> DataFrame:
-        """Rows of some file dates with ``_row_tag``, their place in the file."""
-        rows = within(self.dated(name), start, end)
-        try:
-            return rows.select("*", row_position().alias("_row_tag"))
-        except AnalysisException:  # a table not written yet has no files, so no positions either
-            return rows.withColumn("_row_tag", F.lit(None).cast("long"))
+        """Rows of some file dates; ``_row_tag`` is their place in the source file, as ingestion stored it."""
+        return within(self.dated(name), start, end).withColumnRenamed("_source_position", "_row_tag")
 
     def appended(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name), self.APPENDED[name])

@@ -13,22 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strataledger.functions.audit import file_date, ingest_columns, new_run_id
+from strataledger.functions.audit import new_run_id
 from strataledger.plans import control, runs
+from strataledger.sources.files import audited_rows, csv_options, csv_rows, remove, scanned
 from strataledger.sources.warehouse import Warehouse, now
 
 
-def arriving_rows(wh: Warehouse, entity: str, schema: StructType, run_id: str) -> DataFrame:
-    """New source files as a stream of bronze rows."""
-    name = F.col("_metadata.file_name")
-    rows = (
-        wh.spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", f"{entity}_*.csv")
-        .csv(wh.source)
-    )
-    return rows.withColumns({**ingest_columns(name, run_id), "date": file_date(name)})
+def arriving_rows(wh: Warehouse, entity: str, schema: StructType) -> DataFrame:
+    """New source files as a stream of text rows; positions are computed per micro-batch, in the scan's order."""
+    reader = csv_options(wh.spark.readStream, schema, wh.multiline).option("pathGlobFilter", f"{entity}_*.csv")
+    return scanned(reader.csv(wh.source))
 
 
 def append_new_dates(wh: Warehouse, entity: str, run_id: str):
@@ -40,8 +34,11 @@ def append_new_dates(wh: Warehouse, entity: str, run_id: str):
         # The calendar bounds the loaded dates. Dates are brought together before they are written.
         fresh = rows.join(F.broadcast(loaded), "date", "left_anti").hint("rebalance", "date")
         staged, path = wh.stage(fresh, f"stream-{entity}", ["date"])
-        days = [row[0] for row in staged.select("date").distinct().collect()]
-        counts = wh.publish_partitions(staged, table, "date", days)
+        try:
+            days = [row[0] for row in staged.select("date").distinct().collect()]
+            counts = wh.publish_partitions(staged, table, "date", days)
+        finally:
+            remove(wh.spark, path)
         wh.append("pipeline/loads", [(entity, d, run_id, counts[d], now()) for d in days])
 
     return write
@@ -51,9 +48,14 @@ def ingest_available(wh: Warehouse, entity: str, schema: StructType, checkpoint:
     """Ingest every file that has arrived since the last call, then stop. The checkpoint folder
     remembers the files; it must lie in storage that all executors share."""
     run_id = new_run_id()
+    append = append_new_dates(wh, entity, run_id)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        append(audited_rows(csv_rows(rows, schema), run_id), batch_id)
+
     return (
-        arriving_rows(wh, entity, schema, run_id)
-        .writeStream.foreachBatch(append_new_dates(wh, entity, run_id))
+        arriving_rows(wh, entity, schema)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

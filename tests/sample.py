@@ -12,17 +12,46 @@ ACC_HEADER = (
 )
 CODE_HEADER = "transaction_code,description,debit_credit_indicator,transaction_type,affects_balance"
 
-# Five transactions per day (account, amount, code, channel), the balances of the three
-# accounts per day, the code list, and the results they lead to.
-TRANSACTIONS = {
-    1: "1 50 PURCH01 ONLINE, 2 120 PURCH01 IN_STORE, 1 200 PAY01 ONLINE, X 75 PURCH01 IN_STORE, 1 25 PURCH01 DRIVE_THRU",
-    2: "1 85 PURCH01 ONLINE, 3 300 PAY01 ONLINE, 2 45 PURCH01 IN_STORE, X 60 PURCH01 IN_STORE, 1 15 FEE01 DRIVE_THRU",
-    3: "2 500 PAY01 ONLINE, 3 95 PURCH01 IN_STORE, 1 30 INT01 ONLINE, X 110 PURCH01 IN_STORE, 2 40 PURCH01 DRIVE_THRU",
-    4: "1 175 PURCH01 ONLINE, 2 65 PURCH01 IN_STORE, 3 400 PAY01 ONLINE, X 90 PURCH01 IN_STORE, 3 20 FEE01 DRIVE_THRU",
-    5: "3 55 PURCH01 ONLINE, 1 800 PAY01 ONLINE, 2 35 PURCH01 IN_STORE, X 45 PURCH01 IN_STORE, 1 30 INT01 DRIVE_THRU",
-    6: "1 220 PURCH01 ONLINE, 3 150 PURCH01 IN_STORE, 2 600 PAY01 ONLINE, X 80 PURCH01 IN_STORE, 2 25 INT01 DRIVE_THRU",
-    7: "2 70 PURCH01 IN_STORE, 1 1000 PAY01 ONLINE, 3 130 PURCH01 IN_STORE, X 55 PURCH01 IN_STORE, 3 15 FEE01 DRIVE_THRU",
-}
+# Five transactions per day, the balances of the three accounts per day, the code list, and
+# the results they lead to.
+# (day, account, amount, code, channel)
+TRANSACTIONS = [
+    (1, "ACC-001", "50.00", "PURCH01", "ONLINE"),
+    (1, "ACC-002", "120.00", "PURCH01", "IN_STORE"),
+    (1, "ACC-001", "200.00", "PAY01", "ONLINE"),
+    (1, "ACC-ORPHAN", "75.00", "PURCH01", "IN_STORE"),
+    (1, "ACC-001", "25.00", "PURCH01", "DRIVE_THRU"),
+    (2, "ACC-001", "85.00", "PURCH01", "ONLINE"),
+    (2, "ACC-003", "300.00", "PAY01", "ONLINE"),
+    (2, "ACC-002", "45.00", "PURCH01", "IN_STORE"),
+    (2, "ACC-ORPHAN", "60.00", "PURCH01", "IN_STORE"),
+    (2, "ACC-001", "15.00", "FEE01", "DRIVE_THRU"),
+    (3, "ACC-002", "500.00", "PAY01", "ONLINE"),
+    (3, "ACC-003", "95.00", "PURCH01", "IN_STORE"),
+    (3, "ACC-001", "30.00", "INT01", "ONLINE"),
+    (3, "ACC-ORPHAN", "110.00", "PURCH01", "IN_STORE"),
+    (3, "ACC-002", "40.00", "PURCH01", "DRIVE_THRU"),
+    (4, "ACC-001", "175.00", "PURCH01", "ONLINE"),
+    (4, "ACC-002", "65.00", "PURCH01", "IN_STORE"),
+    (4, "ACC-003", "400.00", "PAY01", "ONLINE"),
+    (4, "ACC-ORPHAN", "90.00", "PURCH01", "IN_STORE"),
+    (4, "ACC-003", "20.00", "FEE01", "DRIVE_THRU"),
+    (5, "ACC-003", "55.00", "PURCH01", "ONLINE"),
+    (5, "ACC-001", "800.00", "PAY01", "ONLINE"),
+    (5, "ACC-002", "35.00", "PURCH01", "IN_STORE"),
+    (5, "ACC-ORPHAN", "45.00", "PURCH01", "IN_STORE"),
+    (5, "ACC-001", "30.00", "INT01", "DRIVE_THRU"),
+    (6, "ACC-001", "220.00", "PURCH01", "ONLINE"),
+    (6, "ACC-003", "150.00", "PURCH01", "IN_STORE"),
+    (6, "ACC-002", "600.00", "PAY01", "ONLINE"),
+    (6, "ACC-ORPHAN", "80.00", "PURCH01", "IN_STORE"),
+    (6, "ACC-002", "25.00", "INT01", "DRIVE_THRU"),
+    (7, "ACC-002", "70.00", "PURCH01", "IN_STORE"),
+    (7, "ACC-001", "1000.00", "PAY01", "ONLINE"),
+    (7, "ACC-003", "130.00", "PURCH01", "IN_STORE"),
+    (7, "ACC-ORPHAN", "55.00", "PURCH01", "IN_STORE"),
+    (7, "ACC-003", "15.00", "FEE01", "DRIVE_THRU"),
+]
 BALANCES = {
     1: (1200, 850),
     2: (1150, 730, 2000),
@@ -68,11 +97,10 @@ def write_file(folder, name: str, header: str, lines: list[str]) -> None:
 
 def transaction_lines(n: int) -> list[str]:
     lines = []
-    for i, item in enumerate(TRANSACTIONS[n].split(", "), 1):
-        account, amount, code, channel = item.split()
-        account = "ACC-ORPHAN" if account == "X" else f"ACC-00{account}"
+    rows = [row for row in TRANSACTIONS if row[0] == n]
+    for i, (_, account, amount, code, channel) in enumerate(rows, 1):
         merchant = f"Shop {i}" if code == "PURCH01" else ""
-        lines.append(f"TXN-{n:02d}-{i:03d},{account},{day(n)},{amount}.00,{code},{merchant},{channel}")
+        lines.append(f"TXN-{n:02d}-{i:03d},{account},{day(n)},{amount},{code},{merchant},{channel}")
     return lines
 
 

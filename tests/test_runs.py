@@ -208,11 +208,11 @@ def test_lost_run_is_recorded(wh):
     sample.write_week(wh.source, [1, 2])
     runs.historical(wh, "2024-01-01", "2024-01-01")
     control.advance_watermark(wh, sample.day(1), "lost-run")
-    assert control.lost_run(wh) == "lost-run"
+    assert ["lost-run" in r.error_message for r in control.lost_run_entries(wh, "now")] == [True]
     run_id = runs.incremental(wh)
     rows = runs.log_of(wh, run_id).where("model_name = 'UNLOGGED_RUN'").collect()
     assert len(rows) == 1 and "lost-run" in rows[0].error_message
-    assert control.lost_run(wh) is None
+    assert control.lost_run_entries(wh, "now") == []
     assert control.recent_log(wh, 3).count() == 3
 
 
