@@ -13,7 +13,7 @@ from strataledger.catalog.sql_layers import ACCOUNTS, BRONZE, END, EVENTS, FIRST
 from strataledger.functions.rules import INVALID_CHANNEL
 from strataledger.operators import accounts as acc
 from strataledger.plans import control
-from strataledger.schemas import BRONZE_TRANSACTIONS
+from strataledger.schemas import BRONZE_TRANSACTIONS, POSITION
 from strataledger.session import scratch_path
 from strataledger.sources import feeds
 from strataledger.sources.warehouse import Warehouse
@@ -73,6 +73,12 @@ def table_week_registry(layers):
     return wh.appended("pipeline/weeks").drop("computed_at")
 
 
+def bronze_form(rows):
+    """Feed rows with the columns of the bronze table; the feed's row tag is their position."""
+    placed = rows.withColumn("_source_position", F.col("_row_tag").cast(POSITION))
+    return placed.select(*BRONZE_TRANSACTIONS.fieldNames())
+
+
 @query(
     "table_write_once",
     with_(BRONZE) + f"SELECT {TXN_SQL}, date FROM bronze",
@@ -80,7 +86,7 @@ def table_week_registry(layers):
 def table_write_once(layers):
     """Dates up to the first run are loaded, then all dates: loaded ones are skipped."""
     wh = warehouse(layers)
-    rows = layers.bronze.select(*BRONZE_TRANSACTIONS.fieldNames())
+    rows = bronze_form(layers.bronze)
     write = append_new_dates(wh, "transactions", "run")
     write(layers.up_to(rows, feeds.FIRST_RUN_END), 0)
     write(rows, 1)
@@ -94,9 +100,8 @@ def table_write_once(layers):
 def stream_bronze(layers):
     """The event file as a stream, ingested to bronze until nothing is left."""
     wh = warehouse(layers)
-    stream = feeds.event_transactions(
-        layers.spark, layers.sf_dir, events=feeds.event_stream(layers.spark, layers.sf_dir)
-    ).select(*BRONZE_TRANSACTIONS.fieldNames())
+    events = feeds.event_stream(layers.spark, layers.sf_dir)
+    stream = bronze_form(feeds.event_transactions(layers.spark, layers.sf_dir, events=events))
     running = (
         stream.writeStream.foreachBatch(append_new_dates(wh, "transactions", "run"))
         .option("checkpointLocation", scratch_path(layers.spark, "stream"))

@@ -9,10 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from strataledger.catalog import registered, sql_text
 from tools.compare import TABLES, normal_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = registered(), sql_text()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
 
 
@@ -26,6 +27,19 @@ def duck():
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
+
+
+def test_weeks_end_with_the_data(spark, duck):
+    """All purchases of complete weeks are in the weekly summary."""
+    total = QUERIES["weekly_customer_lineitems"](spark, SF_DIR).agg({"total_purchases": "sum"}).first()[0]
+    classified = SQL["lineitem_classify"]
+    kept = duck.execute(
+        f"""WITH c AS ({classified}) SELECT COUNT(*) FROM c WHERE _rejection_reason IS NULL AND transaction_code = 'N'
+            AND transaction_date < (SELECT CAST(date_trunc('week', MAX(CAST(l_shipdate AS DATE)) + 1) AS DATE) FROM lineitem)
+            AND account_id IN (SELECT account_id FROM ({SQL["accounts_latest"]}))"""
+    ).fetchall()[0][0]
+    assert total == kept
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
