@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import types as T
@@ -183,3 +184,14 @@ def test_chat_odd_rows(spark):
     check_chat(spark, [])
 
 
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_equal_their_sql(spark, name):
+    duck, folder = duckdb.connect(), "/root/testdata/sf0.001"
+    for table in ("documents", "benchmark", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    cursor = duck.execute(queries.SQL[name])
+    columns = [d[0] for d in cursor.description]
+    found = queries.QUERIES[name](spark, folder).select(*columns).collect()
+    assert sorted(map(tuple, found)) == sorted(cursor.fetchall())
