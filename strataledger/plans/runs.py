@@ -14,7 +14,7 @@ from strataledger.operators.runlog import CODE_STEPS, DATE_STEPS, GOLD_STEPS, sk
 from strataledger.operators.transactions import SCOPE_BATCH
 from strataledger.plans import control, steps
 from strataledger.plans.steps import Batch
-from strataledger.sources.files import missing_sources
+from strataledger.sources.files import missing_sources, source_dates
 from strataledger.sources.warehouse import Warehouse, now
 
 
@@ -73,18 +73,29 @@ def historical(wh: Warehouse, start: str, end: str, options: RunOptions | None =
     return run_id
 
 
-def incremental(wh: Warehouse, options: RunOptions | None = None) -> str | None:
-    """The file date after the watermark. None when one of its files has not arrived."""
+def arrived_after(wh: Warehouse, mark: dt.date) -> list[dt.date]:
+    """File dates that follow the watermark without a gap and have both files; the calendar bounds them."""
+    accounts, transactions = (source_dates(wh.spark, wh.source, entity) for entity in ("accounts", "transactions"))
+    both = accounts.join(transactions, "date", "left_semi").where(F.col("date") > F.lit(mark))
+    present, days = {row[0] for row in both.collect()}, []
+    while (day := mark + dt.timedelta(days=len(days) + 1)) in present:
+        days.append(day)
+    return days
+
+
+def incremental(wh: Warehouse, options: RunOptions | None = None, most: int | None = 1) -> str | None:
+    """The file date after the watermark, or up to ``most`` of them (None: all) as one batch. None when a
+    file of the next date has not arrived."""
     options = options or RunOptions()
     log = RunLog(new_run_id())
     mark = read_control(wh, log)
     if mark is None:
         raise RuntimeError("no watermark: run a historical range first")
-    day = mark + dt.timedelta(days=1)
-    if missing_sources(wh.spark, wh.source, str(day), str(day)).limit(1).count():
+    days = arrived_after(wh, mark)[:most]
+    if not days:
         return None
-    run_batch(wh, Batch(day, day, log.run_id), day, log, options)
-    finish(wh, day, log, options)
+    run_batch(wh, Batch(days[0], days[-1], log.run_id), days[-1], log, options)
+    finish(wh, days[-1], log, options)
     return log.run_id
 
 

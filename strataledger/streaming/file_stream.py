@@ -62,14 +62,11 @@ def ingest_available(wh: Warehouse, entity: str, schema: StructType, checkpoint:
     )
 
 
-def promote_available(wh: Warehouse, options: runs.RunOptions | None = None) -> list[str]:
-    """Incremental runs for every consecutive file date after the watermark that is complete."""
-    done: list[str] = []
+def promote_available(wh: Warehouse, options: runs.RunOptions | None = None) -> str | None:
+    """One run over all file dates that follow the watermark and are complete; a backlog is one batch."""
     if control.get_watermark(wh) is None:
-        return done
-    while (run_id := runs.incremental(wh, options)) is not None:
-        done.append(run_id)
-    return done
+        return None
+    return runs.incremental(wh, options, most=None)
 
 
 def pending_dates(wh: Warehouse) -> list[dt.date]:

@@ -24,7 +24,7 @@ def test_stream_fills_bronze_and_increments_follow(spark, tmp_path):
     assert wh.dated("bronze/transactions").count() == 10
     assert wh.dated("bronze/accounts").count() == 5
     assert [str(d) for d in file_stream.pending_dates(wh)] == ["2024-01-01", "2024-01-02"]
-    assert file_stream.promote_available(wh) == []
+    assert file_stream.promote_available(wh) is None
     runs.historical(wh, "2024-01-01", "2024-01-01")
     assert wh.dated("bronze/transactions").count() == 10
     ingest()
@@ -32,7 +32,10 @@ def test_stream_fills_bronze_and_increments_follow(spark, tmp_path):
     sample.write_week(source, [3])
     ingest()
     assert wh.dated("bronze/transactions").count() == 15
-    assert len(file_stream.promote_available(wh)) == 2
+    run_id = file_stream.promote_available(wh)
+    promoted = runs.log_of(wh, run_id).where("model_name = 'silver_transactions'").select("target_date").collect()
+    assert sorted(r.target_date for r in promoted) == ["2024-01-02", "2024-01-03"]
+    assert file_stream.promote_available(wh) is None
     assert control.get_watermark(wh) == sample.day(3)
     daily = {r.transaction_date: r.total_transactions for r in wh.snapshot("gold/daily_summary").collect()}
     assert daily == {sample.day(n): 3 for n in (1, 2, 3)}
