@@ -15,7 +15,7 @@ from strataledger.session import configure, scratch_path
 # Rows and bytes that Spark hands to a Python worker at once: a bound on the worker's memory.
 BATCH_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
@@ -51,7 +51,7 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that column ``text`` has about ``size`` bytes in each, one whole row at least."""
     for batch in batches:
         lengths = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)

@@ -33,6 +33,8 @@ from strataledger.llm.similarity_sketch import band_keys, sketch
 
 # A pair is linked if 100 * intersection >= PERCENT * union.
 PERCENT = 85
+# Text that is hashed at once: hashing takes about forty times its size.
+BLOCK_BYTES = 1 << 19
 
 
 def fingerprint(elements: np.ndarray) -> tuple[int, int]:
@@ -50,7 +52,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64())]
             + [("bands", pa.list_(pa.int64()))]
         )
-        for batch in blocks(batches):
+        for batch in blocks(batches, BLOCK_BYTES):
             sets = shingle_sets(utf8(batch.column("text")))
             names = [fingerprint(s) for s in sets]
             bands = [band_keys(sketch(s)).view(np.int64) if len(s) else [] for s in sets]
@@ -68,7 +70,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         schema = pa.schema([("node", pa.int64()), ("elements", pa.list_(pa.int64()))])
-        for batch in blocks(batches):
+        for batch in blocks(batches, BLOCK_BYTES):
             sets = shingle_sets(utf8(batch.column("text")))
             asked = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist())
             # Rows that share the id but hold another text are left out.
