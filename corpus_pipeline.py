@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from strataledger.llm import near_duplicates, packing, personal_data, positional_index, quality_cnn
 from strataledger.llm.common import stored, table, tuned
 
+# Near-duplicates of this stage, looser than op6's contract: five-word shingles from 80 % on. A pair at the threshold shares
+# one of the bands with probability 0.99998.
+NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS = 80, 28, 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the byte-level network rejects."""
@@ -21,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     tuned(spark)
-    return near_duplicates.deduplicated(docs)
+    return near_duplicates.deduplicated(docs, NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

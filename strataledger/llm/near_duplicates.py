@@ -2,8 +2,8 @@
 
 A document's set holds its distinct five-word shingles (64-bit hashes). Documents with equal sets are
 one node from the start, named by its smallest id, so copies are never compared with each other. The
-sketches of nodes are cut into bands; nodes that share a band are candidates. With 24 bands of 6 rows a pair
-at the threshold shares a band with probability 0.99998.
+sketches of nodes are cut into bands; nodes that share a band are candidates. Threshold and bands are parameters:
+with 24 bands of 6 rows a pair of 85 % shares a band with probability 0.99998, with 28 bands of 5 one of 80 % does.
 
 Candidates are verified on full sets, in two passes that never list all pairs of a bucket:
 
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from strataledger.llm.common import blocks, record_batch, small_side, stored, utf8
 from strataledger.llm.components import components
 from strataledger.llm.shingles import U64, mix, shingle_sets
-from strataledger.llm.similarity_sketch import band_keys, sketch
+from strataledger.llm.similarity_sketch import BANDS, ROWS, band_keys, sketch
 
-# A pair is linked if 100 * intersection >= PERCENT * union.
+# A pair is linked if 100 * intersection >= percent * union. This is the percentage of op6's contract.
 PERCENT = 85
 # Text that is hashed at once: hashing takes about forty times its size.
 BLOCK_BYTES = 1 << 19
@@ -44,7 +44,7 @@ def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, bands: int = BANDS, height: int = ROWS) -> DataFrame:
     """Columns doc_id, n_shingles, f1, f2 (the set's name) and bands (empty for an empty set)."""
 
     def run(batches):
@@ -55,8 +55,8 @@ def sketched(docs: DataFrame) -> DataFrame:
         for batch in blocks(batches, BLOCK_BYTES):
             sets = shingle_sets(utf8(batch.column("text")))
             names = [fingerprint(s) for s in sets]
-            bands = [band_keys(sketch(s)).view(np.int64) if len(s) else [] for s in sets]
-            columns = [[len(s) for s in sets], [one for one, _ in names], [two for _, two in names], bands]
+            keys = [band_keys(sketch(s, bands * height), height).view(np.int64) if len(s) else [] for s in sets]
+            columns = [[len(s) for s in sets], [one for one, _ in names], [two for _, two in names], keys]
             yield record_batch(schema, [batch.column("doc_id"), *columns])
 
     names = "doc_id long, n_shingles long, f1 long, f2 long, bands array<bigint>"
@@ -82,23 +82,23 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return made.groupBy("node").agg(F.first("elements").alias("elements"))  # equal rows give equal sets
 
 
-def highest(n_a: Column, own_a: Column, n_b: Column, own_b: Column) -> Column:
+def highest(n_a: Column, own_a: Column, n_b: Column, own_b: Column, percent: int) -> Column:
     """Whether sets of these sizes, with these numbers of private elements, can be linked."""
     common = F.least(n_a - own_a, n_b - own_b)
-    return F.lit(100) * common >= F.lit(PERCENT) * (n_a + n_b - common)
+    return F.lit(100) * common >= F.lit(percent) * (n_a + n_b - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     one = sets.select(F.col("node").alias("a"), F.col("elements").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("elements").alias("set_b"))
     joined = pairs.select("a", "b").join(two, "b").join(one, "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
-    return joined.where(F.lit(100) * common >= F.lit(PERCENT) * union).select("a", "b")
+    return joined.where(F.lit(100) * common >= F.lit(percent) * union).select("a", "b")
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect all similar nodes."""
     banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
@@ -123,11 +123,11 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     centres = placed.groupBy("bucket").agg(F.min(F.struct("own", "node", "n")).alias("centre"))
     star = (
         placed.join(centres, "bucket")
-        .where((F.col("node") != F.col("centre.node")) & highest(F.col("n"), F.col("own"), F.col("centre.n"), F.col("centre.own")))
+        .where((F.col("node") != F.col("centre.node")) & highest(F.col("n"), F.col("own"), F.col("centre.n"), F.col("centre.own"), percent))
         .select(F.col("centre.node").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    first = stored(verified(star, sets), "links")
+    first = stored(verified(star, sets, percent), "links")
     grouped = components(first)
     labelled = placed.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -142,16 +142,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rest = (
         left.join(right, "bucket")
         .where("node_a < node_b and component_a != component_b")
-        .where(highest(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b")))
+        .where(highest(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"), percent))
         .where(~F.arrays_overlap("earlier_a", "earlier_b"))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     )
-    return first.union(stored(verified(rest, sets), "links"))
+    return first.union(stored(verified(rest, sets, percent), "links"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Columns doc_id, n_shingles, component_id (smallest id that links reach) and kept, for every row."""
-    rows = stored(sketched(docs), "sketches")
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, height: int = ROWS) -> DataFrame:
+    """Columns doc_id, n_shingles, component_id (smallest id that links reach) and kept, for every row.
+
+    Pairs of at least ``percent`` are linked; candidates share one of ``bands`` bands of ``height`` rows.
+    """
+    rows = stored(sketched(docs, bands, height), "sketches")
     nodes = stored(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy("n_shingles", "f1", "f2")
@@ -159,7 +162,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     # Unequal texts may share an id: their sets are nodes of one name, which joins their components.
-    grouped = components(links(docs, nodes))
+    grouped = components(links(docs, nodes, percent))
     named = nodes.join(grouped, "node", "left").select(
         "n_shingles", "f1", "f2", F.coalesce("component", "node").alias("component_id")
     )
@@ -173,9 +176,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, height: int = ROWS) -> DataFrame:
     """One document of each component, with all columns; of rows that repeat an id one stays, rows without an id all stay."""
-    found = stored(near_duplicates(docs).select("doc_id", "kept"), "near_duplicates")
+    found = stored(near_duplicates(docs, percent, bands, height).select("doc_id", "kept"), "near_duplicates")
     dropped = found.where(~F.col("kept")).select("doc_id").distinct()
     left = docs.join(small_side(dropped), "doc_id", "left_anti").select(*docs.columns)
     repeated = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -92,3 +93,15 @@ def test_shingle_hashes_tell_texts_apart():
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90)], "a long, b long")
     assert {(r["node"], r["component"]) for r in components(edges).collect()} == {(i, 0) for i in range(41)} | {(90, 90), (100, 90)}
+
+
+def test_stage_links_from_eighty_percent(spark, documents):
+    # 100 shingles each; 90 are shared: 90 / 110 = 0.82. The second pair shares 88: 88 / 112 = 0.79.
+    words = [[f"{name}{i}" for i in range(104)] for name in "abcd"]
+    near = [*words[0][:94], *words[1][:10]]
+    far = [*words[2][:92], *words[3][:12]]
+    rows = [(n, " ".join(text)) for n, text in enumerate((words[0], near, words[2], far), 1)]
+    left = corpus_pipeline.near_dedup(spark, documents(rows), "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4]
+    assert sorted(r["doc_id"] for r in nd.deduplicated(documents(rows)).collect()) == [1, 2, 3, 4]
+    assert 1 - (1 - 0.8**corpus_pipeline.NEAR_ROWS) ** corpus_pipeline.NEAR_BANDS > 0.9999
