@@ -1,7 +1,9 @@
 """Personal data by candidate generation and gradient boosting.
 
 Generators with high recall propose spans of four kinds, which may overlap: everything that looks like an e-mail
-address (also with spelled-out signs), an internet address, a card number or a phone number. Boosted trees judge
+address (also with spelled-out signs), an internet address, a card number or a phone number. Of a run of digit groups
+every part that begins and ends at a group's bounds and has as many digits as a card or phone is proposed, so
+numbers beside each other are found too. Boosted trees judge
 each candidate by its format and its context; each kind has a threshold, calibrated to a stated precision on examples the trees
 have not seen. Accepted candidates are added to the spans of four strict rules, which always stay; of
 overlapping additions the more probable one is taken, and none overlaps a strict span.
@@ -50,10 +52,12 @@ SPELLED = re.compile(
     rf"(?:{SOFT_AT})[A-Za-z0-9-]{{1,64}}(?:(?:{SOFT_DOT})[A-Za-z0-9-]{{1,64}}){{1,6}}",
     re.I,
 )
-SPELLED_HINT = re.compile(r"[\[({<]at[\])}>]|[\[({<]dot[\])}>]|\sdot\s|\s@|@\s", re.I)
+SPELLED_HINT = re.compile(r"[\[({<]at[\])}>]|[\[({<]dot[\])}>]|\sdot\s|\s@|@\s|\sat\s+[a-z0-9-]{1,64}\.[a-z0-9]", re.I)
 DIGIT = re.compile(r"[0-9]")
 RUN = re.compile(r"[+(]{0,2}[0-9](?:[ ().\-/]{0,2}[0-9])+")
 PLAIN = re.compile(r"[0-9]+")
+PHONE_DIGITS = range(7, 16)
+CARD_DIGITS = range(12, 21)
 LOOSE_IP = re.compile(r"[0-9]{1,3}(?:\s?(?:\.|\[\.\]|\(\.\))\s?[0-9]{1,3}){3}")
 
 # Words before a value that tell its kind, as the features see them.
@@ -65,6 +69,17 @@ HINTS = {
     "other": ("order", "id", "no", "version", "isbn", "token", "key", "date", "page", "sku", "ref", "invoice", "price", "license", "v"),
 }
 
+# Words before " at " that are no mailbox.
+COMMON_BEFORE_AT = frozenset(
+    "look looked looking available found hosted us me it is are be was meet met live lives sold here him her them more information"
+    " documentation online directly visit stay work works posted based site website page sign up start read also and or code data".split()
+)
+# Sizes of the digit groups that phone numbers are written in.
+PHONE_GROUPS = ([3, 3, 4], [1, 3, 3, 4], [2, 3, 3, 4], [3, 3, 3, 4], [4, 3, 3, 4], [4, 7], [1, 3, 7], [2, 3, 7])
+TAIL_DIGITS = re.compile(r"([0-9]+)([ ().\-/]{1,2})$")
+HEAD_DIGITS = re.compile(r"([ ().\-/]{1,2})([0-9]+)")
+SIGNS = re.compile(r"[ ().\-/]{1,2}(?=[0-9])")
+
 
 def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
@@ -111,6 +126,25 @@ def strict_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+def parts_of_run(text: str, start: int, end: int):
+    """(kind, start, end) of every part of a run that group bounds delimit and whose digits fit a kind; at most 20 parts a group."""
+    groups = [m.span() for m in PLAIN.finditer(text, start, end)]
+    for first, (begin, _) in enumerate(groups):
+        signed = begin
+        while signed > start and begin - signed < 2 and text[signed - 1] in "+(":
+            signed -= 1
+        size = 0
+        for own_begin, own_end in groups[first:]:
+            size += own_end - own_begin
+            if size >= CARD_DIGITS.stop:
+                break
+            for kind, sizes in (("phone", PHONE_DIGITS), ("card", CARD_DIGITS)):
+                if size in sizes:
+                    yield kind, signed, own_end
+                    if text[signed] == "(" and text.find(")", signed, own_end) < 0:  # the sign belongs to the text around
+                        yield kind, begin, own_end
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Everything that might be a value, kinds and spans overlapping."""
     found = set()
@@ -119,11 +153,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     if DIGIT.search(text):
         found.update(("ip", *m.span()) for m in LOOSE_IP.finditer(text))
         for m in RUN.finditer(text):
-            size = len(digits_of(m.group()))
-            if 7 <= size <= 15:
-                found.add(("phone", *m.span()))
-            if 12 <= size <= 20:
-                found.add(("card", *m.span()))
+            found.update(parts_of_run(text, *m.span()))
         found.update(("card", *m.span()) for m in PLAIN.finditer(text) if 12 <= m.end() - m.start() <= 20)
     return sorted(found)
 
@@ -149,6 +179,11 @@ def described(text: str, kind: str, start: int, end: int) -> list[float]:
     before = re.findall(r"[A-Za-z-]+", text[max(0, start - 30) : start].lower())[-2:]
     hinted = [float(any(w in words for w in before)) for words in HINTS.values()]
     lowered = value.lower()
+    # What a run of digits goes on with on either side, and whether the sign there is one of the value's own.
+    earlier = TAIL_DIGITS.search(text[max(0, start - 24) : start])
+    later = HEAD_DIGITS.match(text[end : end + 24])
+    signs = set(SIGNS.findall(value))
+    name = re.match(r"[A-Za-z]*", value)
     return [
         float(KINDS.index(kind)),
         len(value),
@@ -179,6 +214,18 @@ def described(text: str, kind: str, start: int, end: int) -> list[float]:
         sign_class(text[end : end + 1]),
         float(text[end : end + 2].strip()[:1].isdigit()),
         float(text[max(0, start - 2) : start].strip()[-1:].isdigit()),
+        float(len(earlier.group(1)) if earlier else 0),
+        float(len(later.group(2)) if later else 0),
+        float(bool(earlier) and earlier.group(2) in signs),
+        float(bool(later) and later.group(1) in signs),
+        len(signs),
+        float(groups[1] if len(groups) > 1 else 0),
+        float(groups[2] if len(groups) > 2 else 0),
+        float(groups[-2] if len(groups) > 1 else 0),
+        float(len(set(groups[:-1])) == 1),
+        float(groups in PHONE_GROUPS),
+        float(set(groups[:-1]) == {4} and groups[-1] in (1, 2, 3, 4)),
+        float(name.group().lower() in COMMON_BEFORE_AT),
         *hinted,
     ]
 
@@ -193,6 +240,8 @@ def rendered_digits(rng: random.Random, size: int) -> str:
 def card_number(rng: random.Random, valid: bool) -> str:
     size = rng.choice((13, 14, 15, 16, 16, 16, 16, 19))
     body = (rng.choice("3456") if rng.random() < 0.5 else rng.choice("0123456789")) + rendered_digits(rng, size - 2)
+    if rng.random() < 0.15:  # few different digits, as in round numbers
+        body = body[:2] + rng.choice("0123456789") * (size - 3)
     last = next(d for d in "0123456789" if luhn(body + d))
     return body + (last if valid else rng.choice([d for d in "0123456789" if d != last]))
 
@@ -204,7 +253,7 @@ def positive(rng: random.Random, kind: str) -> str:
         name += rng.choice(("", "", str(rng.randint(1, 99)), "." + rng.choice(("smith", "li", "ops"))))
         host = "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(3, 8))) + rng.choice(("", str(rng.randint(1, 9))))
         end = rng.choice(("com", "org", "net", "de", "fr", "io"))
-        sign, dot = rng.choice(((" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), ("[at]", "."), (" @ ", "."), ("{at}", "{dot}"), (" @ ", " . "), (" (at) ", ".")))
+        sign, dot = rng.choice(((" [at] ", " [dot] "), ("(at)", "(dot)"), (" at ", " dot "), ("[at]", "."), (" @ ", "."), ("{at}", "{dot}"), (" @ ", " . "), (" (at) ", "."), (" at ", ".")))
         return f"{name.replace('.', dot)}{sign}{host}{dot}{end}"
     if kind == "ip":
         dot = rng.choice((".", "[.]", "(.)", " . ", "[.]"))
@@ -234,13 +283,30 @@ def negative(rng: random.Random) -> str:
             f"{d(1)}.{d(9)}", f"{d(2)}.{d(14)}", f"{rng.randint(1, 999)} {d(3)} {d(3)}", f"{d(1)},{d(3)},{d(3)}.{d(2)}", f"{d(7)}",
             f"a{d(12)}f", f'"{d(9)}e{d(8)}c{d(9)}"', f"token = \"{d(3)}ab{d(13)}\"", f"page {d(3)}-{d(4)}", f"{d(20)}", f"{d(8)}",
             f"{d(1)} {d(1)} {d(1)} {d(1)} {d(1)} {d(1)} {d(1)} {d(1)}", f"sku {d(5)}-{d(5)}-{d(3)}", f"{d(3)}/{d(4)}/{d(3)}",
+            f"{d(2)} {d(3)} {d(1)} {d(4)} {d(2)} {d(1)}", f"{d(4)} {d(2)} {d(3)} {d(4)} {d(1)} {d(3)}", f"{d(2)}.{d(1)} {d(2)}.{d(1)} {d(3)}.{d(1)} {d(1)}.{d(2)}",
+            f"{year}-{month:02d}-{day:02d} {d(2)} {d(3)} {d(4)}", f"{rng.choice(sorted(COMMON_BEFORE_AT))} at www.{rng.choice(('ab', 'news', 'tool'))}.com",
+            f"{rng.choice(sorted(COMMON_BEFORE_AT))} at {rng.choice(('example', 'site', 'shop', 'docs.lab'))}.{rng.choice(('com', 'org', 'net', 'io'))}",
             "look at this dot com boom", "we met at noon. Then", "at home (dot) net worth", f"stay at hotel. {d(2)} rooms",
         )
     )
 
 
+def neighbour(rng: random.Random) -> tuple[str | None, str]:
+    """Kind and text of what stands beside a value: another value, or a number that is none."""
+    if rng.random() < 0.5:
+        kind = rng.choice(("card", "phone"))
+        return kind, positive(rng, kind)
+    year, month, day = rng.randint(1950, 2035), rng.randint(1, 12), rng.randint(1, 28)
+    size = rng.randint(1, 5)
+    other = (f"{year}-{month:02d}-{day:02d}", f"{month:02d}/{year % 100:02d}", f"{day:02d}.{month:02d}.{year}", str(year), rendered_digits(rng, size), rendered_digits(rng, size))
+    return None, rng.choice(other)
+
+
 def examples(carriers: list[list[str]], size: int = EXAMPLES, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the candidates in made texts; a candidate is right if it is exactly the value set in."""
+    """Features and labels of the candidates in made texts; a candidate is right if it is exactly a value set in.
+
+    Half of the cards and phones have a neighbour before them, after them, or both.
+    """
     rng = random.Random(seed)
     rows, labels = [], []
     for number in range(size):
@@ -248,16 +314,25 @@ def examples(carriers: list[list[str]], size: int = EXAMPLES, seed: int = 11) ->
         words = rng.choice(carriers) if carriers else ["word"] * 20
         at = rng.randrange(max(1, len(words) - 12))
         left, right = " ".join(words[at : at + 6]), " ".join(words[at + 6 : at + 12])
-        value = positive(rng, kind) if kind else negative(rng)
+        items = [(kind, positive(rng, kind) if kind else negative(rng))]
         if kind and rng.random() < 0.25:
             left += " " + rng.choice(HINTS[kind]) + rng.choice(("", ":", " is"))
-        text = f"{left} {value}{rng.choice((' ', ' ', ' ', '. ', ', ', chr(10)))}{right}"
+        if kind in ("card", "phone") and rng.random() < 0.5:
+            sides = rng.choice(("before", "after", "both"))
+            items = [neighbour(rng)] * (sides != "after") + items + [neighbour(rng)] * (sides != "before")
+        text, right_spans = left, set()
         start = len(left) + 1
+        for own, value in items:
+            text += " " + value
+            if own:
+                right_spans.add((own, len(text) - len(value), len(text)))
+        end = len(text)
+        text += f"{rng.choice((' ', ' ', ' ', '. ', ', ', chr(10)))}{right}"
         strict = set(strict_spans(text))
         for span in candidates(text):
-            if span not in strict and start <= span[1] and span[2] <= start + len(value):
+            if span not in strict and start <= span[1] and span[2] <= end:
                 rows.append(described(text, *span))
-                labels.append(float(span == (kind, start, start + len(value))))
+                labels.append(float(span in right_spans))
     return np.array(rows, np.float64), np.array(labels, np.float64)
 
 
@@ -270,13 +345,20 @@ class Finder:
         """(kind, start, end, strict, probability), by kind as listed, then start."""
         strict = strict_spans(text)
         chosen = [(*span, True, 1.0) for span in strict]
-        extra = [span for span in candidates(text) if span not in strict]
+        listed = set(strict)
+        extra = [span for span in candidates(text) if span not in listed]
         if extra:
+            taken = bytearray(len(text))
+            for _, start, end in strict:
+                taken[start:end] = b"\1" * (end - start)
             likely = self.trees.probability(np.array([described(text, *span) for span in extra], np.float64))
-            for i in np.argsort(-likely, kind="stable"):
+            # Of equally probable spans the longer one goes first, so that no part of a value is left.
+            order = sorted(range(len(extra)), key=lambda i: (-likely[i], extra[i][1] - extra[i][2], i))
+            for i in order:
                 kind, start, end = extra[i]
-                if likely[i] >= self.thresholds[kind] and all(end <= s or start >= e for _, s, e, _, _ in chosen):
+                if likely[i] >= self.thresholds[kind] and taken.find(1, start, end) < 0:
                     chosen.append((kind, start, end, False, float(likely[i])))
+                    taken[start:end] = b"\1" * (end - start)
         return sorted(chosen, key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
 
 

@@ -88,3 +88,24 @@ def test_query_equals_plain_search(spark):
         listed = [f"{k}:{s}:{e}" for k, s, e in spans]
         assert row["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
         assert set(listed) <= set(row["spans"].split(",")) if listed else True
+
+
+ADJACENT = [
+    ("555-123-4567 555-987-6543", [("phone", "555-123-4567"), ("phone", "555-987-6543")]),
+    ("4111 1111 1111 1111 5500 0000 0000 0004", [("card", "4111 1111 1111 1111"), ("card", "5500 0000 0000 0004")]),
+    ("17 4111 1111 1111 1111 12/26", [("card", "4111 1111 1111 1111")]),
+    ("555-123-4567 2024-01-05", [("phone", "555-123-4567")]),
+    ("jo at mail.com", [("email", "jo at mail.com")]),
+]
+
+
+@pytest.mark.parametrize("values, expected", ADJACENT)
+def test_values_beside_other_numbers(finder, values, expected):
+    text = f"we said today {values} and another thing"
+    assert {(k, text[s:e]) for k, s, e in pd.candidates(text)} >= set(expected)
+    assert [(k, text[s:e]) for k, s, e, *_ in finder.spans(text)] == expected
+
+
+def test_candidates_grow_with_the_text():
+    sizes = [len(pd.candidates("12 345 6 " * n)) for n in (200, 400)]
+    assert sizes[1] < 2.1 * sizes[0]
