@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -181,11 +180,11 @@ def fit_logistic(rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def train(documents: list[list[bytes]], labels: np.ndarray) -> Model:
-    """Near copies of a training text, told by the smallest hash of its expressions, count once."""
+    """Texts of one label with the same set of expressions count once; every other labelled text is learned from."""
     unique: dict = {}
     for words, label in zip(documents, labels):
         found = expressions(words)
-        unique.setdefault(min((crc32(b" ".join(e)) for e in found), default=-1), (words, found, label))
+        unique.setdefault((frozenset(found), int(label)), (words, found, label))
     documents, sets, labels = ([row[i] for row in unique.values()] for i in range(3))
     labels = np.array(labels, np.float64)
     fold = np.arange(len(labels)) % FOLDS

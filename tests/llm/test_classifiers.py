@@ -131,3 +131,17 @@ def test_boosted_trees_learn_an_interaction():
     bound = threshold_for(likely, labels[1500:], 0.98)
     assert labels[1500:][likely >= bound].mean() >= 0.98
     assert threshold_for(np.array([0.2]), np.array([0.0]), 0.9) == 2.0
+
+
+def test_toxicity_learns_from_every_different_text(monkeypatch):
+    added = []
+    add = toxicity.Counts.add
+    monkeypatch.setattr(toxicity.Counts, "add", lambda self, found, frequent, label: (added.append((frozenset(found), int(label))), add(self, found, frequent, label))[1])
+    common = b" ".join(b"p%d" % i for i in range(40))  # a passage that all texts share
+    texts = [common + b" own%d" % i for i in range(30)]
+    documents = [toxicity.words_of(t) for t in texts]
+    labels = np.array([i % 2 for i in range(30)], np.float64)
+    toxicity.train([*documents, documents[0], documents[1]], np.array([*labels, labels[0], 1 - labels[1]]))
+    expected = {(frozenset(toxicity.expressions(d)), int(n)) for d, n in zip(documents, labels)}
+    expected.add((frozenset(toxicity.expressions(documents[1])), int(1 - labels[1])))
+    assert set(added[-31:]) == expected and len(expected) == 31
