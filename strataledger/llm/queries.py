@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataledger.llm import chat_format, context_tree, language, personal_data, positional_index, quality_cnn, quality_rules, toxicity
+from strataledger.llm import (
+    chat_format,
+    context_tree,
+    fuzzy_fingerprints,
+    hard_negatives,
+    language,
+    merkle_manifest,
+    personal_data,
+    positional_index,
+    quality_cnn,
+    quality_rules,
+    toxicity,
+)
 from strataledger.llm.common import id_remainder, table
 from strataledger.llm.near_duplicates import near_duplicates
 from strataledger.llm.packing import pack
@@ -166,3 +178,47 @@ def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_snapshot_collapse"] = OP4_SQL
+
+
+OP11_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+scored AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+    FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id, score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+paired AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM paired WHERE rank <= 5
+"""
+
+
+@query
+def op11_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.participating(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op11_shared_lists"] = OP11_SQL
+
+
+@query
+def op12_golay_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_fingerprints.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_subtree_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle_manifest.proofs(table(spark, sf_dir, "documents"), merkle_manifest.tampered())
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
