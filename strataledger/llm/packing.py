@@ -18,6 +18,8 @@ columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import base64
+import json
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -34,52 +36,22 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 CAPACITY = 2048
 END_ID = 1
-# The JSON file's vocabulary as ranks: the same ids, several times faster to apply.
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Chunks that a task remembers the ids of; beyond that it starts afresh.
-REMEMBERED = 200_000
-
-
-class ChunkIds(dict):
-    """Ids of text chunks as little-endian 32-bit integers, computed on first use.
-
-    A chunk is what stands between two spaces, with the space before it. The vocabulary's pattern
-    always starts a token at a single space between two other characters, so chunks can be
-    encoded one by one. A chunk that is empty or touches other white space has no ids here.
-    """
-
-    def __init__(self, vocabulary: str):
-        with open(vocabulary, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-
-    def plain(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        body = chunk[1:]
-        if not body or body[0].isspace() or body[-1].isspace():
-            raise ValueError(chunk)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = ids = self.plain(chunk)
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if not rest or not first or first[-1].isspace():
-            return self.plain(text)
-        try:
-            return self.plain(first) + b"".join([self[" " + chunk] for chunk in rest])
-        except ValueError:
-            return self.plain(text)
+# The tokenizer's file, and its vocabulary as ranks: these give the same ids several times faster.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @lru_cache(maxsize=4)
-def chunk_ids(vocabulary: str) -> ChunkIds:
-    return ChunkIds(vocabulary)
+def encoder(tokenizer: str, ranks: str) -> Callable[[str], np.ndarray]:
+    """Token ids of a text, as the tokenizer's file has them: its added tokens are recognised in the text."""
+    with open(tokenizer, encoding="utf-8") as file:
+        added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    with open(ranks, "rb") as lines:
+        merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    encoding = tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=added
+    )
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 @lru_cache(maxsize=4)
@@ -117,20 +89,20 @@ def merged(left: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, i
     return placed
 
 
-def tokenized_pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, capacity: int, tokenizer: str, ranks: str, end_id: int) -> DataFrame:
     """One row per piece with its ids, the task that made it, and its number in the task's class."""
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     names = "start long, length long, ids binary, doc_tokens long, part int, slot long"
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
-        encoder = chunk_ids(vocabulary)
+        encode = encoder(tokenizer, ranks)
         part = TaskContext.get().partitionId()
         used: dict[int, int] = {}
         for batch in blocks(batches):
             rows, starts, lengths, ids, totals, slots = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                encoded = encoder.encode(text or "") + end
+                encoded = encode(text or "").astype("<u4", copy=False).tobytes() + end
                 total, start = len(encoded) // 4, 0
                 for length in pieces_of(total, capacity):
                     rows.append(row)
@@ -152,14 +124,14 @@ def tokenized_pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: in
 
 
 def pack(
-    docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID
+    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, ranks: str = RANKS, end_id: int = END_ID
 ) -> DataFrame:
     """Pieces of all documents with their token ids, sequence and offset in the sequence.
 
     Columns: doc_id, start, length, ids (little-endian 32-bit integers), doc_tokens, sequence_id, offset.
     """
     spark = docs.sparkSession
-    pieces = stored(tokenized_pieces(docs, capacity, vocabulary, end_id), "pieces")
+    pieces = stored(tokenized_pieces(docs, capacity, tokenizer, ranks, end_id), "pieces")
     # One row per task and class; at most 32 + capacity // 32 classes.
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     by_class = Window.partitionBy("length").orderBy("part")
