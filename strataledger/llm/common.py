@@ -64,13 +64,15 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[p
             start = stop
 
 
-# Ids up to this number are sent to all tasks (8 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+# Tables up to this size are sent to all tasks; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
-def small_side(ids: DataFrame) -> DataFrame:
-    """``ids`` with a broadcast hint, if counting them shows that they are few."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def small_side(rows: DataFrame) -> DataFrame:
+    """``rows``, best a stored table, with a broadcast hint if their measured bytes are few."""
+    width = sum((F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in rows.columns), F.lit(16))
+    held = rows.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(rows) if held <= BROADCAST_BYTES else rows
 
 
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -1,7 +1,8 @@
 """Near-duplicate documents: similarity sketches, banding, exact verification, components.
 
 A document's set holds its distinct five-word shingles (64-bit hashes). Documents with equal sets are
-one node from the start, named by its smallest id, so copies are never compared with each other. The
+one node from the start, so copies are never compared with each other. Nodes are numbered when they are
+written; ids come back only after the components are known, as rows of one id may hold different texts. The
 sketches of nodes are cut into bands; nodes that share a band are candidates. Threshold and bands are parameters:
 with 24 bands of 6 rows a pair of 85 % shares a band with probability 0.99998, with 28 bands of 5 one of 80 % does.
 
@@ -15,8 +16,9 @@ Candidates are verified on full sets, in two passes that never list all pairs of
 
 Defined results: null, empty and white-space texts have an empty set, link with nothing, and are kept. A text
 with fewer words than a shingle has one shingle, its whole sequence. Rows without an id
-have no component and are kept. Rows that repeat an id each get a row; they share the component if their texts
-are equal or linked. An empty table gives no rows. Columns other than id and text are not read.
+have no component and are kept. Rows that repeat an id each get a row and the component of their own text. Of
+rows that repeat an id, ``deduplicated`` keeps one per group of equal or linked texts (texts without words count as
+equal), and all that differ. An empty table gives no rows. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -64,8 +66,8 @@ def sketched(docs: DataFrame, bands: int = BANDS, height: int = ROWS) -> DataFra
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Full sets of ``nodes`` (node, n_shingles, f1, f2), made again from the documents' texts."""
-    wanted = nodes.select(F.col("node").alias("doc_id"), "f1", "f2")
+    """Full sets of ``nodes`` (node, least, f1, f2), made again from the documents' texts."""
+    wanted = nodes.select(F.col("least").alias("doc_id"), "node", "f1", "f2")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(small_side(wanted), "doc_id")
 
     def run(batches):
@@ -73,10 +75,10 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in blocks(batches, BLOCK_BYTES):
             sets = shingle_sets(utf8(batch.column("text")))
             asked = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist())
-            # Rows that share the id but hold another text are left out.
+            # A row that shares the id but holds another text belongs to another node.
             fits = [fingerprint(s) == name for s, name in zip(sets, asked)]
-            ids = batch.column("doc_id").filter(pa.array(fits, pa.bool_()))
-            yield record_batch(schema, [ids, [s.view(np.int64) for s, fit in zip(sets, fits) if fit]])
+            named = batch.column("node").filter(pa.array(fits, pa.bool_()))
+            yield record_batch(schema, [named, [s.view(np.int64) for s, fit in zip(sets, fits) if fit]])
 
     made = texts.mapInArrow(run, "node long, elements array<bigint>")
     return made.groupBy("node").agg(F.first("elements").alias("elements"))  # equal rows give equal sets
@@ -149,41 +151,75 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return first.union(stored(verified(rest, sets, percent), "links"))
 
 
+SET = ("n_shingles", "f1", "f2")
+
+
+def grouped(docs: DataFrame, percent: int, bands: int, height: int) -> DataFrame:
+    """Columns doc_id, the set's name, component (a number; null for empty sets) and component_id for every row."""
+    rows = stored(sketched(docs, bands, height), "sketches")
+    nodes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*SET)
+    nodes = nodes.agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))  # equal sets have equal bands
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    linked = components(links(docs, nodes, percent))
+    # Only nodes with links need a component and its smallest id.
+    linked = stored(nodes.select("node", "least").join(linked, "node"), "linked")
+    smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    placed = linked.join(smallest, "component").select("node", "component", "smallest")
+    named = nodes.join(placed, "node", "left").select(
+        *SET, F.coalesce("component", "node").alias("component"), F.coalesce("smallest", "least").alias("smallest")
+    )
+    return rows.select("doc_id", *SET).join(named, list(SET), "left").select(
+        "doc_id",
+        *SET,
+        F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id")).alias("component_id"),
+    )
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, height: int = ROWS) -> DataFrame:
     """Columns doc_id, n_shingles, component_id (smallest id that links reach) and kept, for every row.
 
     Pairs of at least ``percent`` are linked; candidates share one of ``bands`` bands of ``height`` rows.
     """
-    rows = stored(sketched(docs, bands, height), "sketches")
-    nodes = stored(
-        rows.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("n_shingles", "f1", "f2")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),  # equal sets have equal bands
-        "nodes",
-    )
-    # Unequal texts may share an id: their sets are nodes of one name, which joins their components.
-    grouped = components(links(docs, nodes, percent))
-    named = nodes.join(grouped, "node", "left").select(
-        "n_shingles", "f1", "f2", F.coalesce("component", "node").alias("component_id")
-    )
-    found = rows.select("doc_id", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+    return grouped(docs, percent, bands, height).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept")
     )
 
 
+def with_set_names(docs: DataFrame) -> DataFrame:
+    """Columns row (all columns of ``docs``), doc_id and the name of the row's set."""
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"), "text")
+
+    def run(batches):
+        for batch in blocks(batches, BLOCK_BYTES):
+            sets = shingle_sets(utf8(batch.column("text")))
+            names = [fingerprint(s) for s in sets]
+            columns = [[len(s) for s in sets], [one for one, _ in names], [two for _, two in names]]
+            arrays = [batch.column("row"), batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", *SET])
+
+    kind = whole.schema["row"].dataType.simpleString()
+    return whole.mapInArrow(run, f"row {kind}, doc_id long, n_shingles long, f1 long, f2 long")
+
+
 def deduplicated(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, height: int = ROWS) -> DataFrame:
-    """One document of each component, with all columns; of rows that repeat an id one stays, rows without an id all stay."""
-    found = stored(near_duplicates(docs, percent, bands, height).select("doc_id", "kept"), "near_duplicates")
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(small_side(dropped), "doc_id", "left_anti").select(*docs.columns)
-    repeated = stored(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    """One document of each component, with all columns; rows without an id all stay."""
+    found = stored(grouped(docs, percent, bands, height), "near_duplicates").where("doc_id is not null")
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    dropped = found.where("component_id != doc_id").select("doc_id")
     if repeated.isEmpty():
-        return left
+        return docs.join(small_side(stored(dropped, "dropped")), "doc_id", "left_anti").select(*docs.columns)
+    # An id with several rows does not tell which of them goes: these rows are named by their sets again.
     ids = small_side(repeated)
-    once = left.join(ids, "doc_id", "left_anti").select(*docs.columns)
-    return once.union(left.join(ids, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    dropped = small_side(stored(dropped.join(ids, "doc_id", "left_anti"), "dropped"))
+    once = docs.join(ids, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    chosen = (
+        found.join(ids, "doc_id", "left_semi")
+        .where("component_id = doc_id")
+        .groupBy("doc_id", "component")
+        .agg(F.min(F.struct(*SET)).alias("set"))
+        .select("doc_id", "set.*")
+    )
+    again = with_set_names(docs.join(ids, "doc_id", "left_semi").select(*docs.columns))
+    kept = again.join(chosen, ["doc_id", *SET]).dropDuplicates(["doc_id", *SET])
+    return once.union(kept.select("row.*"))

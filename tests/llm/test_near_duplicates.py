@@ -71,6 +71,37 @@ def test_repeated_rows_and_missing_ids(documents):
     assert sorted(r["doc_id"] or 0 for r in left) == [0, 3, 8] and "sequence_id" in left[0].asDict()
 
 
+def test_an_id_with_two_texts_keeps_all_links(documents):
+    a, b = (" ".join(f"{name}{i}" for i in range(60)) for name in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, a), (5, b + " more"), (5, "something else of five words or so")]
+    found = nd.near_duplicates(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == [
+        (1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (4, 56, 1), (5, 3, 5), (5, 57, 1),
+    ]
+    left = nd.deduplicated(documents([*rows, (1, a), (6, ""), (6, None)])).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in left) == [
+        (1, a), (1, b), (5, "something else of five words or so"), (6, ""),
+    ]
+
+
+def test_finds_the_links_of_a_table(spark):
+    """Recall against all pairs of sf0.01, at the contract's percentage and at the pipeline's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    made = shingle_sets([(r["text"] or "").encode() for r in rows])
+    sets = {r["doc_id"]: frozenset(s.tolist()) for r, s in zip(rows, made)}
+    ids = sorted({s: i for i, s in sorted(sets.items(), reverse=True) if s}.values())  # the first id of each set
+    for percent, shape in ((85, {}), (80, {"bands": corpus_pipeline.NEAR_BANDS, "height": corpus_pipeline.NEAR_ROWS})):
+        label = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(docs, percent, **shape).collect()}
+        linked = [
+            (a, b)
+            for a, b in itertools.combinations(ids, 2)
+            if min(len(sets[a]), len(sets[b])) * 100 >= percent * max(len(sets[a]), len(sets[b]))
+            and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+        ]
+        assert linked and all(label[a] == label[b] for a, b in linked)
+
+
 def test_empty_table(documents):
     assert nd.near_duplicates(documents([])).count() == 0
     assert nd.deduplicated(documents([])).count() == 0
