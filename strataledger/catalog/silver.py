@@ -22,8 +22,12 @@ from strataledger.operators import accounts as acc
 from strataledger.operators import checks, joins
 from strataledger.operators import transactions as txn
 from strataledger.schemas import SOURCE_ACCOUNTS, SOURCE_TRANSACTIONS
+from strataledger.session import scratch_path
 from strataledger.sources import feeds
+from strataledger.sources.ledger import IdLedger
 
+# The ledger's batch with the ids of the first run.
+FIRST_BATCH = "0-first"
 TXN = SOURCE_TRANSACTIONS.fieldNames()
 TXN_SQL = "transaction_id, account_id, transaction_date, CAST(amount AS DOUBLE) AS amount, transaction_code, merchant_name, channel"
 ACC = SOURCE_ACCOUNTS.fieldNames()
@@ -80,9 +84,12 @@ def txn_classify_within_file(layers):
     + f"SELECT {TXN_SQL}, date, reason AS _rejection_reason FROM classified WHERE date > {FIRST}",
 )
 def txn_classify_increment(layers):
-    """Later files against the ids that silver already accepted on other dates."""
+    """Later files against the ids that silver already accepted on other dates, from their bucketed ledger."""
     later = layers.bronze.where(F.col("date") > F.lit(feeds.FIRST_RUN_END).cast("date"))
-    history = layers.first_run_silver.select("transaction_id")
+    buckets = int(layers.spark.conf.get("spark.sql.shuffle.partitions"))
+    ledger = IdLedger(layers.spark, scratch_path(layers.spark, "accepted-ids"), buckets)
+    ledger.add(layers.up_to(layers.silver, feeds.FIRST_RUN_END), FIRST_BATCH)
+    history = ledger.ids({FIRST_BATCH: None})
     classified = txn.classify(later, layers.codes, history, stage=layers.staged)
     return txn_columns(classified, "date", "_rejection_reason")
 

@@ -21,6 +21,7 @@ from strataledger.catalog.sql_layers import (
     BRONZE,
     END,
     EVENTS,
+    FIRST,
     FIRST_WEEKLY,
     LAYERS,
     REGISTERED,
@@ -163,20 +164,70 @@ def run_weekly(layers):
 
 @query(
     "run_log",
-    with_(*EVENTS)
-    + """SELECT 'silver_transactions' AS model_name, strftime(date, '%Y-%m-%d') AS target_date, 'SILVER' AS layer,
-         'SUCCESS' AS status, COUNT(*) AS records_processed, COUNT(*) FILTER (WHERE reason IS NULL) AS records_written,
-         COUNT(*) FILTER (WHERE reason IS NOT NULL) AS records_rejected FROM classified GROUP BY date""",
+    with_(*LAYERS)
+    + f"""SELECT model_name, strftime(day, '%Y-%m-%d') AS target_date, layer, 'SUCCESS' AS status,
+          records_processed, records_written, records_rejected
+          FROM (
+            SELECT CAST(unnest(generate_series(CAST((SELECT MIN(date) FROM bronze) AS TIMESTAMP), CAST({END} AS TIMESTAMP),
+                   INTERVAL 1 DAY)) AS DATE) AS day) days,
+          LATERAL (
+            SELECT 'bronze_accounts' AS model_name, 'BRONZE' AS layer, COUNT(*) AS records_processed,
+                   COUNT(*) AS records_written, CAST(NULL AS BIGINT) AS records_rejected
+            FROM bronze_accounts WHERE date = day
+            UNION ALL SELECT 'bronze_transactions', 'BRONZE', COUNT(*), COUNT(*), NULL FROM bronze WHERE date = day
+            UNION ALL SELECT 'silver_transactions', 'SILVER', COUNT(*), COUNT(*) FILTER (WHERE reason IS NULL),
+                   COUNT(*) FILTER (WHERE reason IS NOT NULL) FROM classified WHERE date = day
+            UNION ALL SELECT 'silver_accounts', 'SILVER', COUNT(*) FILTER (WHERE date = day),
+                   COUNT(DISTINCT account_id) FILTER (WHERE reason IS NULL AND date <= CASE
+                     WHEN day <= {FIRST} THEN {FIRST} WHEN day = {FIRST} + 1 THEN day ELSE {END} END),
+                   COUNT(*) FILTER (WHERE date = day AND reason IS NOT NULL) FROM classified_accounts) steps""",
 )
 def run_log(layers):
+    """The log rows of all steps that have a file date, also of dates without rows."""
     return (
         published(layers)
         .appended("pipeline/run_log")
-        .where("model_name = 'silver_transactions'")
+        .where("target_date is not null")
         .select("model_name", "target_date", "layer", "status", "records_processed", "records_written", "records_rejected")
     )
 
 
+@query(
+    "run_log_ends",
+    with_(*LAYERS)
+    + f""", runs AS (
+            SELECT 'first' AS run, {FIRST} AS last UNION ALL SELECT 'increment', {FIRST} + 1 UNION ALL SELECT 'rest', {END}),
+          weeks AS (SELECT week, MIN(last) AS last FROM silver, runs WHERE resolvable AND date <= last AND week + 6 <= last GROUP BY week)
+          SELECT model_name, layer, 'SUCCESS' AS status, records_processed, records_written FROM (
+            SELECT 'bronze_transaction_codes' AS model_name, 'BRONZE' AS layer,
+                   CASE run WHEN 'first' THEN (SELECT COUNT(*) FROM codes) ELSE 0 END AS records_processed,
+                   CASE run WHEN 'first' THEN (SELECT COUNT(*) FROM codes) ELSE 0 END AS records_written
+            FROM runs WHERE run <> 'increment'
+            UNION ALL SELECT 'silver_transaction_codes', 'SILVER', (SELECT COUNT(*) FROM codes), (SELECT COUNT(*) FROM codes)
+            FROM runs WHERE run <> 'increment'
+            UNION ALL SELECT 'gold_daily_summary', 'GOLD', (SELECT COUNT(*) FROM silver WHERE date <= last),
+                   CAST(last - (SELECT MIN(date) FROM bronze) + 1 AS BIGINT) FROM runs
+            UNION ALL SELECT 'gold_weekly_account_summary', 'GOLD',
+                   (SELECT COUNT(*) FROM silver s JOIN weeks w ON s.week = w.week AND w.last = r.last WHERE resolvable AND date <= r.last),
+                   (SELECT COUNT(DISTINCT (s.week, account_id)) FROM silver s JOIN weeks w ON s.week = w.week AND w.last <= r.last
+                    WHERE resolvable AND date <= w.last) FROM runs r) steps""",
+)
+def run_log_ends(layers):
+    """The log rows of the steps that a run takes once: codes and Gold."""
+    return (
+        published(layers)
+        .appended("pipeline/run_log")
+        .where("target_date is null")
+        .select("model_name", "layer", "status", "records_processed", "records_written")
+    )
+
+
+def side_by_side(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two one-row frames as one row: their union, with each column's only value."""
+    both = one.unionByName(other, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
+
+
 @query(
     "run_control",
     with_(*LAYERS)
@@ -187,9 +238,7 @@ def run_control(layers):
     """The watermark, and the registered weeks."""
     wh = published(layers)
     weeks = wh.appended("pipeline/weeks").agg(F.count(F.lit(1)).alias("weeks"), F.max("week_start_date").alias("last_week"))
-    mark = wh.snapshot("pipeline/control").agg(F.max("last_processed_date").alias("last_processed_date"))
-    # One row each.
-    return mark.withColumn("one", F.lit(1)).join(weeks.withColumn("one", F.lit(1)), "one").drop("one")
+    return side_by_side(wh.snapshot("pipeline/control").select("last_processed_date"), weeks)
 
 
 @query(
@@ -204,7 +253,7 @@ def run_verified(layers):
         F.count(F.lit(1)).cast("int").alias("checks"), F.sum("violations").cast("int").alias("violations")
     )
     dates = wh.dated("bronze/transactions").where(F.col("date") <= cut(end)).agg(F.count_distinct("date").alias("dates"))
-    return dates.withColumn("one", F.lit(1)).join(found.withColumn("one", F.lit(1)), "one").drop("one")
+    return side_by_side(dates, found)
 
 
 @query(

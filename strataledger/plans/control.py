@@ -30,7 +30,7 @@ def computed_weeks(wh: Warehouse) -> set[dt.date]:
 
 def record_weeks(wh: Warehouse, weeks: list[tuple], run_id: str) -> None:
     """Append weeks to the registry; an empty list does nothing."""
-    wh.append("pipeline/weeks", [(start, end, now(), run_id) for start, end in weeks])
+    wh.append("pipeline/weeks", [(start, end, now(), run_id) for start, end in weeks], run_id)
 
 
 def lost_run_entries(wh: Warehouse, run_id: str) -> list:

@@ -37,7 +37,7 @@ class RunLog:
         return (model, str(date) if date else None) in self.rows
 
     def flush(self, wh: Warehouse) -> None:
-        wh.append("pipeline/run_log", list(self.rows.values()))
+        wh.append("pipeline/run_log", list(self.rows.values()), self.run_id)
         self.rows = {}
 
 

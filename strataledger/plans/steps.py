@@ -14,9 +14,9 @@ from strataledger.operators import accounts as acc
 from strataledger.operators import daily as dly
 from strataledger.operators import transactions as txn
 from strataledger.operators import weekly as wk
-from strataledger.operators.checks import accounting_by_date, duplicate_keys
+from strataledger.operators.checks import duplicate_keys
 from strataledger.sources.files import bronze_rows, remove
-from strataledger.sources.warehouse import Warehouse, now, outside_range, within
+from strataledger.sources.warehouse import Change, Warehouse, now, within
 
 PROCESSED, SILVER = "processed", "silver"
 RUN_END, WEEK_END = "run_end", "week_end"
@@ -52,8 +52,7 @@ def by_partition(rows: DataFrame, column: str, partitions: int) -> DataFrame:
 def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) -> dict:
     """Ingest the files of the batch that are not loaded yet, all dates in one job.
 
-    A date counts as loaded once ``pipeline/loads`` says so, after its partition is complete. A
-    partition that a lost job left behind is not in that list and is replaced.
+    Partitions and load rows become current in one commit, so a date is loaded wholly or not at all.
     """
     done = {
         row[0]
@@ -64,23 +63,24 @@ def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) ->
     todo = [d for d in batch.dates if d not in done]
     if not todo:
         return {d: 0 for d in batch.dates}
-    table = f"bronze/{entity}"
     paths = [f"{wh.source}/{entity}_{d}.csv" for d in todo]
     # No shuffle: every split belongs to one file, so to one date.
     rows = bronze_rows(wh.spark, paths, schema, batch.run_id, wh.multiline)
-    for d in todo:
-        remove(wh.spark, f"{wh.path(table)}/date={d}")
-    rows.write.mode("append").partitionBy("date").parquet(wh.path(table))
-    found = within(wh.dated(table), *batch.bounds).groupBy("date").count()
-    counts = {row[0]: row[1] for row in found.collect()}
-    wh.append("pipeline/loads", [(entity, d, batch.run_id, counts.get(d, 0), now()) for d in todo])
-    return {d: counts.get(d, 0) if d in todo else 0 for d in batch.dates}
+    change = wh.change(batch.run_id)
+    try:
+        counts = change.parts(rows, f"bronze/{entity}", "date", todo)
+        change.append("pipeline/loads", [(entity, d, batch.run_id, counts[d], now()) for d in todo])
+        change.commit()
+    except BaseException:
+        change.abandon()
+        raise
+    return {d: counts.get(d, 0) for d in batch.dates}
 
 
 def load_codes(wh: Warehouse, run_id: str) -> tuple[int, int]:
     """Ingest the code list once and promote it. A repeated code would multiply rows, so it fails."""
     written = 0
-    if wh.version("bronze/transaction_codes") == 0:
+    if not wh.has_snapshot("bronze/transaction_codes"):
         rows = bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], schemas.SOURCE_CODES, run_id, wh.multiline).drop("date", "_source_position")
         written = wh.publish_snapshot(rows, "bronze/transaction_codes", run_id)
     codes = acc.promote_codes(wh.snapshot("bronze/transaction_codes"))
@@ -91,42 +91,45 @@ def load_codes(wh: Warehouse, run_id: str) -> tuple[int, int]:
 
 
 def promote_accounts(wh: Warehouse, batch: Batch) -> tuple[int, dict, dict]:
-    """Upsert the accepted account rows of the batch; quarantine the others per file date. Returns the size of
-    the snapshot, and rows read and rejected per date."""
+    """Upsert the accepted account rows of the batch and quarantine the others per file date, in one commit.
+    Returns the size of the snapshot, and rows read and rejected per date."""
     bronze = wh.dated_with_position("bronze/accounts", *batch.bounds)
-    read = {d: 0 for d in batch.dates} | {row[0]: row[1] for row in bronze.groupBy("date").count().collect()}
+    read = wh.rows_of("bronze/accounts", batch.dates)
     classified = acc.classify_accounts(bronze)
-    rejects = by_partition(acc.rejected_accounts(classified), "date", len(batch.dates))
-    rejected, path = wh.stage(rejects, "rejected-accounts", ["date"])
+    change = wh.change(batch.run_id)
     try:
+        rejects = by_partition(acc.rejected_accounts(classified), "date", len(batch.dates))
+        rejected = change.parts(rejects, "quarantine/accounts", "date", batch.dates)
         incoming = acc.incoming_accounts(acc.passing(classified), "_row_tag")
-        snapshot = acc.upsert(wh.snapshot("silver/accounts"), incoming)
-        total = wh.publish_snapshot(snapshot, "silver/accounts", batch.run_id)
-        counts = wh.publish_partitions(rejected, "quarantine/accounts", "date", batch.dates)
-    finally:
-        remove(wh.spark, path)
-    return total, read, counts
+        total = change.snapshot(acc.upsert(wh.snapshot("silver/accounts"), incoming), "silver/accounts")
+        change.commit()
+    except BaseException:
+        change.abandon()
+        raise
+    return total, read, rejected
 
 
 def promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str = txn.SCOPE_BATCH) -> tuple[dict, dict]:
-    """Classify, sign and flag all rows of the batch, check the accounting, then publish both outputs.
+    """Classify, sign and flag all rows of the batch, check the accounting, then make both outputs current.
 
-    The classified rows are written once to the shared folder, so both outputs come from one pass,
-    and nothing is published unless bronze = accepted + rejected holds for every date.
+    Every row is written once, to a new folder with an accepted and a rejected side, and counted on the way. If
+    bronze = accepted + rejected holds for every date, measures and accepted ids are written beside it, and one
+    commit makes silver, quarantine, measures and ids of the batch current together.
     """
     scratch: list[str] = []
+    change = wh.change(batch.run_id)
     try:
-        return _promote_transactions(wh, batch, dup_scope, scratch)
+        return _promote_transactions(wh, batch, dup_scope, change, scratch)
+    except BaseException:
+        change.abandon()
+        raise
     finally:
         for folder in scratch:
             remove(wh.spark, folder)
 
 
-def _promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str, scratch: list[str]) -> tuple[dict, dict]:
+def _promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str, change: Change, scratch: list[str]) -> tuple[dict, dict]:
     bronze = wh.dated_with_position("bronze/transactions", *batch.bounds)
-    history = outside_range(wh.dated("silver/transactions"), *batch.bounds).select("transaction_id")
-    if history.isEmpty():  # a first load has no other dates to compare with
-        history = None
 
     def stage(rows: DataFrame, name: str) -> DataFrame:
         table, path = wh.stage(rows, name)
@@ -134,22 +137,27 @@ def _promote_transactions(wh: Warehouse, batch: Batch, dup_scope: str, scratch:
         return table
 
     codes = wh.snapshot("silver/transaction_codes")
-    classified = txn.classify(bronze, codes, history, dup_scope, stage=stage)
+    classified = txn.classify(bronze, codes, wh.accepted_ids(without=batch.dates), dup_scope, stage=stage)
     resolved = txn.resolve(classified, wh.snapshot("silver/accounts"))
     rows = by_partition(txn.settled(resolved, batch.run_id), "date", len(batch.dates))
-    staged, path = wh.stage(rows, "transactions", ["_accepted", "date"])
-    scratch.append(path)
-    silver = staged.where(F.col("_accepted")).select(*schemas.SILVER_TRANSACTIONS.fieldNames())
-    rejects = staged.where(~F.col("_accepted")).select(*schemas.QUARANTINE_TRANSACTIONS.fieldNames())
-    open_dates = accounting_by_date(bronze, silver, rejects).where(F.col("discrepancy") != 0).collect()
+    folder = change.folder(wh.SETTLED)
+    sides = [(side, day) for side in (True, False) for day in batch.dates]
+    counts = wh.counted_write(rows, folder, ["_accepted", "date"], sides)
+    accepted, rejected = ({day: counts[(side, day)] for day in batch.dates} for side in (True, False))
+    read = wh.rows_of("bronze/transactions", batch.dates)
+    open_dates = {str(day): n for day, n in read.items() if n != accepted[day] + rejected[day]}
     if open_dates:
-        raise DataQualityError(f"bronze rows != silver + quarantine rows: {open_dates}")
-    accepted = wh.publish_partitions(silver, "silver/transactions", "date", batch.dates)
-    rejected = wh.publish_partitions(rejects, "quarantine/transactions", "date", batch.dates)
-    measures = dly.daily_partials(within(wh.dated("silver/transactions"), *batch.bounds), codes, ("date", "transaction_date"))
-    partials, path = wh.stage(measures, "daily-measures", ["date"])
-    scratch.append(path)
-    wh.publish_partitions(partials, wh.PARTIALS, "date", batch.dates)
+        raise DataQualityError(f"bronze rows != silver + quarantine rows on {open_dates}")
+    change.place("silver/transactions", f"{folder}/_accepted=true", accepted)
+    change.place("quarantine/transactions", f"{folder}/_accepted=false", rejected)
+    sides_written = [f"{folder}/_accepted=true"] if any(accepted.values()) else []
+    silver = wh.read(schemas.SILVER_TRANSACTIONS, wh.SETTLED, sides_written)
+    measures = dly.daily_partials(silver, codes, ("date", "transaction_date"))
+    change.parts(by_partition(measures, "date", len(batch.dates)), wh.PARTIALS, "date", batch.dates)
+    wh.write_ledger(change, silver, accepted)
+    change.commit()
+    while wh.merge_ledger(batch.run_id):
+        pass
     return accepted, rejected
 
 
@@ -202,9 +210,5 @@ def publish_weekly(wh: Warehouse, weeks: list[tuple], run_id: str, balance_at: s
         else:
             summary = wk.with_run_end_balance(measures, wh.snapshot("silver/accounts"))
         rows = by_partition(wk.gold_weekly(summary, run_id), "week_start_date", len(weeks))
-        staged, path = wh.stage(rows, "weekly", ["week_start_date"])
-        try:
-            wh.publish_partitions(staged, wh.WEEKLY, "week_start_date", starts)
-        finally:
-            remove(wh.spark, path)
-    return wh.weekly().count()
+        wh.publish_partitions(rows, wh.WEEKLY, "week_start_date", starts, run_id)
+    return sum(rows for _, rows in wh.state.parts.get(wh.WEEKLY, {}).values())

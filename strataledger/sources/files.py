@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -111,16 +110,6 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> D
     return spark.createDataFrame(table, schema)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A Parquet table with its contract schema; a table not written yet is empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return local_frame(spark, [], schema)
-        raise
-
-
 def written(
     spark: SparkSession, rows: DataFrame, name: str, partition_by: Iterable[str] = ()
 ) -> tuple[DataFrame, str]:

@@ -33,13 +33,19 @@ def append_new_dates(wh: Warehouse, entity: str, run_id: str):
         loaded = wh.appended("pipeline/loads").where(F.col("entity") == entity).select("date")
         # The calendar bounds the loaded dates. Dates are brought together before they are written.
         fresh = rows.join(F.broadcast(loaded), "date", "left_anti").hint("rebalance", "date")
-        staged, path = wh.stage(fresh, f"stream-{entity}", ["date"])
+        staged, path = wh.stage(fresh, f"stream-{entity}")
+        change = wh.change(run_id)
         try:
             days = [row[0] for row in staged.select("date").distinct().collect()]
-            counts = wh.publish_partitions(staged, table, "date", days)
+            if days:
+                counts = change.parts(staged.hint("rebalance", "date"), table, "date", days)
+                change.append("pipeline/loads", [(entity, d, run_id, counts[d], now()) for d in days])
+                change.commit()
+        except BaseException:
+            change.abandon()
+            raise
         finally:
             remove(wh.spark, path)
-        wh.append("pipeline/loads", [(entity, d, run_id, counts[d], now()) for d in days])
 
     return write
 
