@@ -6,11 +6,12 @@ n-gram. A text's mask bits are counted per language, the expected number of fals
 (a language's filter passes a foreign n-gram with probability fill ** HASHES), and the largest count decides.
 
 A filter contains the character n-grams that occur in at least ``SHARE`` of the language's training texts.
-Training is bounded: a hash of the id picks about ``ROWS`` texts of each of the ``LANGUAGES`` most frequent
-languages. Prediction reads whole texts, and the text only.
+Training is bounded: a hash of the id picks about ``ROWS`` texts of each language, and every language is learned.
+Prediction reads whole texts, and the text only.
 
-Defined results: ``und`` with score 0 for a null text, a text without a letter, one without any known n-gram, or
-when there was nothing to learn from. Of languages with equal counts, the one with more
+Defined results: ``und`` with score 0 for a null text, a text without a letter, or when there was nothing to learn
+from. A text with letters of which no n-gram is known gets the language with most training texts, with its
+share of them as score. Of languages with equal counts, the one with more
 training texts wins, then the first by name. Repeated rows are predicted repeatedly. An empty table gives no rows.
 """
 
@@ -31,7 +32,6 @@ HASHES = 3
 CELLS_PER_GRAM = 16
 SHARE = 0.004
 ROWS = 2000
-LANGUAGES = 256
 UNDECIDED = "und"
 SPACE = 32
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -70,6 +70,7 @@ def grams_of(codes: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarra
 class Filters:
     languages: list[str]
     cells: np.ndarray  # (number of cells, words of 64 languages)
+    share: float = 0.0  # of the first language among the training texts
 
     def positions(self, grams: np.ndarray) -> list[np.ndarray]:
         step = (grams >> np.uint64(32)) | np.uint64(1)
@@ -115,16 +116,16 @@ def predict(filters: Filters, rates: np.ndarray, texts: list[str | None]) -> tup
     best = corrected.argmax(axis=1)
     ordered = np.sort(np.pad(corrected, ((0, 0), (1, 0))), axis=1)
     top, second = ordered[:, -1], ordered[:, -2]
-    known = with_letter & (top > 0)
-    score = np.where(known, top / np.maximum(top + second, 1e-12), 0.0)
-    return [filters.languages[i] if ok else UNDECIDED for i, ok in zip(best, known)], score
+    # The languages come in the order of their training texts, so without a known n-gram the first one is best.
+    score = np.where(top > 0, top / np.maximum(top + second, 1e-12), filters.share)
+    return [filters.languages[i] if ok else UNDECIDED for i, ok in zip(best, with_letter)], np.where(with_letter, score, 0.0)
 
 
 def fit(docs: DataFrame, training: Column) -> Filters:
     """Filters from the bounded sample of the rows where ``training`` holds."""
     labelled = docs.where(training & F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = [(r["lang"], r["count"]) for r in counts.collect()]
+    # One row per language, as the filters have one bit for each.
+    languages = sorted(((r["lang"], r["count"]) for r in labelled.groupBy("lang").count().collect()), key=lambda r: (-r[1], r[0]))
     if not languages:
         return build([], np.zeros(0, np.uint64), np.zeros(0, np.int64))
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, training: Column) -> Filters:
     )
     sample = (
         labelled.select("lang", "text", picked.alias("picked"))
-        .join(F.broadcast(known), "lang")  # at most LANGUAGES rows
+        .join(F.broadcast(known), "lang")  # one row per language
         .where(F.col("picked") < F.col("share"))
     )
 
@@ -161,7 +162,9 @@ def fit(docs: DataFrame, training: Column) -> Filters:
         .toArrow()
     )
     found = kept.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    return build([lang for lang, _ in languages], found, kept.column("language").to_numpy().astype(np.int64))
+    filters = build([lang for lang, _ in languages], found, kept.column("language").to_numpy().astype(np.int64))
+    filters.share = languages[0][1] / sum(n for _, n in languages)
+    return filters
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:

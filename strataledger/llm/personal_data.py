@@ -2,15 +2,15 @@
 
 Generators with high recall propose spans of four kinds, which may overlap: everything that looks like an e-mail
 address (also with spelled-out signs), an internet address, a card number or a phone number. Of a run of digit groups
-every part that begins and ends at a group's bounds and has as many digits as a card or phone is proposed, so
-numbers beside each other are found too. Boosted trees judge
+every part of at most ``MOST_GROUPS`` groups that has as many digits as a card or phone is proposed, so
+numbers beside each other are found too. All searches take time in proportion to the text. Boosted trees judge
 each candidate by its format and its context; each kind has a threshold, calibrated to a stated precision on examples the trees
 have not seen. Accepted candidates are added to the spans of four strict rules, which always stay; of
 overlapping additions the more probable one is taken, and none overlaps a strict span.
 
 There are no labelled spans to learn from. The training examples are made: values and look-alikes (dates, versions, prices, order
 numbers, keys) in many formats are set into runs of words from a bounded sample of the documents
-(``CARRIERS`` texts), so the contexts are those of the corpus.
+(about ``CARRIERS`` whole texts), so the contexts are those of the corpus.
 
 Offsets count code points. Defined results: null is empty text; texts without digits, signs or spelled-out signs have no spans.
 Every row gets a result, repeated rows repeatedly. An empty table gives no rows; the trees then learn
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import random
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +34,20 @@ from strataledger.llm.common import blocks, record_batch
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.98
 CARRIERS = 200
-CARRIER_WORDS = 400
 EXAMPLES = 6000
+# Digit groups of one number as people write it.
+MOST_GROUPS = 8
+# Candidates that are described at once, and judged candidates that a task remembers by their surroundings.
+JUDGED = 4096
+REMEMBERED = 100_000
 
 # The strict rules' patterns, by kind.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The same matches without looking at a character again and again: an address can only begin where a run of
+# digits does, and the part of a mail address before its @ is all that stands there.
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ADDRESS_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
@@ -109,13 +117,25 @@ def address_runs(text: str):
         at = text.find("@", stop)
 
 
+def addresses(text: str, start: int, stop: int):
+    """Mail addresses in a run of address characters, leftmost first."""
+    at = text.find("@", start, stop)
+    while at >= 0:
+        found = DOMAIN.match(text, at + 1, stop) if at > start else None
+        if found:
+            yield start, found.end()
+        start = found.end() if found else at + 1
+        at = text.find("@", start, stop)
+
+
 def strict_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the four rules, by kind and start."""
-    spans = [("email", *m.span()) for start, stop in address_runs(text) for m in EMAIL.finditer(text, start, stop)]
+    spans = [("email", *span) for start, stop in address_runs(text) for span in addresses(text, start, stop)]
     if not DIGIT.search(text):
         return spans
-    for m in IP.finditer(text):
-        if all(int(part) <= 255 for part in m.group().split(".") if len(part) < 20) and max(map(len, m.group().split("."))) < 20:
+    for m in DOTTED.finditer(text):
+        parts = [part.lstrip("0") for part in m.group().split(".")]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             spans.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         digits = digits_of(m.group())
@@ -127,14 +147,14 @@ def strict_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def parts_of_run(text: str, start: int, end: int):
-    """(kind, start, end) of every part of a run that group bounds delimit and whose digits fit a kind; at most 20 parts a group."""
+    """(kind, start, end) of every part of a run that group bounds delimit and whose digits fit a kind."""
     groups = [m.span() for m in PLAIN.finditer(text, start, end)]
     for first, (begin, _) in enumerate(groups):
         signed = begin
         while signed > start and begin - signed < 2 and text[signed - 1] in "+(":
             signed -= 1
         size = 0
-        for own_begin, own_end in groups[first:]:
+        for own_begin, own_end in groups[first : first + MOST_GROUPS]:
             size += own_end - own_begin
             if size >= CARD_DIGITS.stop:
                 break
@@ -336,10 +356,32 @@ def examples(carriers: list[list[str]], size: int = EXAMPLES, seed: int = 11) ->
     return np.array(rows, np.float64), np.array(labels, np.float64)
 
 
+def surroundings(text: str, kind: str, start: int, end: int) -> tuple[str, str, str, str]:
+    """All that ``described`` looks at."""
+    return kind, text[max(0, start - 30) : start], text[start:end], text[end : end + 24]
+
+
 @dataclass
 class Finder:
     trees: Trees
     thresholds: dict[str, float]
+    judged: dict = field(default_factory=dict, repr=False)
+
+    def probabilities(self, text: str, spans: list[tuple[str, int, int]]) -> list[float]:
+        """Of each candidate, in blocks; equal candidates in equal surroundings are judged once."""
+        found: list[float] = []
+        for at in range(0, len(spans), JUDGED):
+            part = spans[at : at + JUDGED]
+            keys = [surroundings(text, *span) for span in part]
+            new = {key: span for key, span in zip(keys, part) if key not in self.judged}
+            if len(self.judged) + len(new) > REMEMBERED:
+                self.judged.clear()
+                new = dict(zip(keys, part))
+            if new:
+                rows = np.array([described(text, *span) for span in new.values()], np.float64)
+                self.judged.update(zip(new, self.trees.probability(rows).tolist()))
+            found += [self.judged[key] for key in keys]
+        return found
 
     def spans(self, text: str) -> list[tuple[str, int, int, bool, float]]:
         """(kind, start, end, strict, probability), by kind as listed, then start."""
@@ -351,13 +393,13 @@ class Finder:
             taken = bytearray(len(text))
             for _, start, end in strict:
                 taken[start:end] = b"\1" * (end - start)
-            likely = self.trees.probability(np.array([described(text, *span) for span in extra], np.float64))
+            likely = self.probabilities(text, extra)
             # Of equally probable spans the longer one goes first, so that no part of a value is left.
             order = sorted(range(len(extra)), key=lambda i: (-likely[i], extra[i][1] - extra[i][2], i))
             for i in order:
                 kind, start, end = extra[i]
                 if likely[i] >= self.thresholds[kind] and taken.find(1, start, end) < 0:
-                    chosen.append((kind, start, end, False, float(likely[i])))
+                    chosen.append((kind, start, end, False, likely[i]))
                     taken[start:end] = b"\1" * (end - start)
         return sorted(chosen, key=lambda span: (KINDS.index(span[0]), span[1], span[2]))
 
@@ -376,14 +418,13 @@ def fit_examples(carriers: list[list[str]]) -> Finder:
 
 
 def fit(docs: DataFrame) -> Finder:
-    """Trees for this corpus; at most 2 * CARRIERS runs of CARRIER_WORDS words come to the driver.
+    """Trees for this corpus; at most 2 * CARRIERS texts come to the driver.
 
     A hash of the id picks about CARRIERS rows where they are read, so no task sends more than its share.
     """
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, CARRIERS / max(1, docs.count())))
-    words = F.slice(F.split(F.col("text"), r"\s+"), 1, CARRIER_WORDS)
-    rows = docs.where(picked).select("doc_id", words.alias("words")).limit(2 * CARRIERS).collect()
-    runs = sorted([w for w in r["words"] or () if w.isalpha()] for r in rows)
+    rows = docs.where(picked).select("text").limit(2 * CARRIERS).collect()
+    runs = sorted([w for w in (r["text"] or "").split() if w.isalpha()] for r in rows)
     return fit_examples([run for run in runs if run])
 
 

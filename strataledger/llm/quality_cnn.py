@@ -5,8 +5,7 @@ chunk; a chunk keeps each filter's largest response. Mean, largest and smallest
 chunks of the document, with the text's size, go through one logistic layer, which gives one probability. The first layer is a sum of
 table rows, one table per position in a filter, so a chunk costs a few array operations.
 
-Training is bounded: ``TRAIN_ROWS`` labelled documents with ``TRAIN_CHUNKS`` evenly spaced chunks of each.
-Scoring reads every byte.
+Training is bounded by ``TRAIN_ROWS`` labelled documents, of which it reads every chunk. Scoring reads every byte too.
 
 Defined results: null text is empty text; it and texts shorter than a filter are padded with zero bytes, so
 every row gets a score. Repeated rows are scored repeatedly. An empty table gives no rows. Without any
@@ -28,7 +27,8 @@ CHUNK = 512
 WIDTH = 6
 FILTERS = 16
 TRAIN_ROWS = 3000
-TRAIN_CHUNKS = 6
+# Chunks at a time, so that their responses stay in the processor's cache.
+TOGETHER = 96
 STEPS = 560  # of 64 documents each, however few there are
 THRESHOLD = 0.3
 SIZES = 4
@@ -81,9 +81,8 @@ def pooled_documents(net: Network, texts: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"".join(parts) + b"\0" * WIDTH, np.uint8)
     pooled = np.empty((len(starts), FILTERS), np.float32)
     starts, ends = np.array(starts), np.array(ends)
-    step = 96  # chunks at a time, so that the responses stay in the processor's cache
-    for low in range(0, len(starts), step):
-        own, stop = slice(low, low + step), ends[low : low + step].max()
+    for low in range(0, len(starts), TOGETHER):
+        own, stop = slice(low, low + TOGETHER), ends[low : low + TOGETHER].max()
         base = starts[low]
         found = responses(net, data[base : stop + WIDTH])
         edges = np.stack([starts[own] - base, ends[own] - base], 1).ravel()
@@ -128,10 +127,14 @@ def train(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, seed:
             data = np.concatenate([chunks[i] for i in own])
             counts = np.array([len(chunks[i]) for i in own])
             firsts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-            flat = responses(net, np.append(data.ravel(), np.zeros(WIDTH - 1, np.uint8)))
-            windows = flat.reshape(len(data), CHUNK, FILTERS)[:, :STEP]
-            best = windows.argmax(axis=1)
-            raw = np.take_along_axis(windows, best[:, None], 1)[:, 0] + net.offset
+            best = np.empty((len(data), FILTERS), np.int64)
+            raw = np.empty((len(data), FILTERS), np.float32)
+            for at in range(0, len(data), TOGETHER):
+                part = data[at : at + TOGETHER]
+                flat = responses(net, np.append(part.ravel(), np.zeros(WIDTH - 1, np.uint8)))
+                windows = flat.reshape(len(part), CHUNK, FILTERS)[:, :STEP]
+                best[at : at + TOGETHER] = windows.argmax(axis=1)
+                raw[at : at + TOGETHER] = windows.max(axis=1) + net.offset
             pooled = np.maximum(raw, 0)
             large = np.maximum.reduceat(pooled, firsts, axis=0)
             small = np.minimum.reduceat(pooled, firsts, axis=0)
@@ -171,15 +174,13 @@ def train(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, seed:
 
 
 def training_chunks(sample: DataFrame) -> DataFrame:
-    """Columns doc_id, label, size and chunks: evenly spaced chunks of each document, one after the other."""
+    """Columns doc_id, label, size and chunks: all chunks of each document, one after the other."""
 
     def cut(batches):
         for batch in blocks(batches):
             held, sizes = [], []
             for text in utf8(batch.column("text")):
                 starts = chunk_starts(max(len(text), WIDTH))
-                if len(starts) > TRAIN_CHUNKS:
-                    starts = [starts[round(i * (len(starts) - 1) / (TRAIN_CHUNKS - 1))] for i in range(TRAIN_CHUNKS)]
                 sizes.append(len(text))
                 held.append(b"".join(text[s : s + CHUNK].ljust(CHUNK, b"\0") for s in starts))
             doc_ids = batch.column("doc_id")
@@ -193,7 +194,7 @@ def training_chunks(sample: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
-    """Train on the bounded sample; at most TRAIN_ROWS * TRAIN_CHUNKS * CHUNK bytes come to the driver."""
+    """Train on the bounded sample: at most TRAIN_ROWS texts come to the driver."""
     rows = training_chunks(labelled_sample(docs, labels, label, TRAIN_ROWS)).toArrow().sort_by("doc_id")
     chunks = [np.frombuffer(c.as_py(), np.uint8).reshape(-1, CHUNK) for c in rows.column("chunks")]
     return train(chunks, rows.column("size").to_numpy(), rows.column("label").to_numpy().astype(np.float64))

@@ -10,8 +10,7 @@ An expression counts once per text, so that repeated lines do not outvote the re
 A text's two log-likelihoods, length-normalised in three ways (a word, by the root of the length, and whole), go
 through a logistic calibration that is fitted on folds the counts have not seen.
 
-Training is bounded by ``TRAIN_ROWS`` labelled documents and ``TRAIN_WORDS`` words from evenly spaced
-runs of each. Scoring reads every word.
+Training is bounded by ``TRAIN_ROWS`` labelled documents, of which it reads every word. Scoring reads every word too.
 
 Defined results: a null or empty text has no words and gets what calibration gives to no evidence.
 Repeated rows are scored repeatedly. An empty table gives no rows. Without training rows of both classes in
@@ -32,7 +31,6 @@ from strataledger.llm.common import blocks, record_batch, utf8
 from strataledger.llm.samples import labelled_sample
 
 TRAIN_ROWS = 5000
-TRAIN_WORDS = 1000
 DISCOUNT = 0.75
 # Thresholds on the likelihood-ratio statistic of an expression's document counts.
 EVIDENCE = (6.0, 11.0, 20.0, 40.0)
@@ -218,22 +216,13 @@ def train(documents: list[list[bytes]], labels: np.ndarray) -> Model:
     return model
 
 
-def spread(words: list[bytes], most: int) -> list[bytes]:
-    """At most ``most`` words, from ten runs that lie evenly in the text."""
-    if len(words) <= most:
-        return words
-    run = most // 10
-    starts = [round(i * (len(words) - run) / 9) for i in range(10)]
-    return [w for s in starts for w in words[s : s + run]]
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Train on the bounded sample; at most TRAIN_ROWS * TRAIN_WORDS words come to the driver."""
+    """Train on the bounded sample: the words of at most TRAIN_ROWS texts come to the driver."""
     sample = labelled_sample(docs, labels, label, TRAIN_ROWS)
 
     def cut(batches):
         for batch in blocks(batches):
-            texts = [b" ".join(spread(words_of(t), TRAIN_WORDS)) for t in utf8(batch.column("text"))]
+            texts = [b" ".join(words_of(t)) for t in utf8(batch.column("text"))]
             schema = pa.schema([("doc_id", batch.column("doc_id").type), ("label", pa.int32()), ("words", pa.binary())])
             yield record_batch(schema, [batch.column("doc_id"), batch.column("label"), texts])
 
