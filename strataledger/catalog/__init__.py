@@ -1,6 +1,6 @@
 """Queries by name, with the SQL that states the same result."""
 
-from strataledger.catalog import control, gold, silver, tables, whole_runs  # noqa: F401  (importing registers the queries)
+from strataledger.catalog import branches, control, gold, silver, tables, whole_runs  # noqa: F401  (importing registers the queries)
 from strataledger.catalog.registry import QUERIES, SQL
 
 
