@@ -243,7 +243,7 @@ def run_control(layers):
 
 @query(
     "run_verified",
-    with_(BRONZE) + f"SELECT COUNT(DISTINCT date) AS dates, 37 AS checks, 0 AS violations FROM bronze WHERE date <= {END}",
+    with_(BRONZE) + f"SELECT COUNT(DISTINCT date) AS dates, 38 AS checks, 0 AS violations FROM bronze WHERE date <= {END}",
 )
 def run_verified(layers):
     """All checks of the suite over the whole range of dates."""
