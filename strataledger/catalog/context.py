@@ -84,6 +84,16 @@ class Layers:
     def silver(self) -> DataFrame:
         return txn.accepted(txn.resolve(self.classified, self.first_seen), F.col("_pipeline_run_id"))
 
+    @cached_property
+    def settled(self) -> DataFrame:
+        """Both outputs of one classification: silver rows are the accepted ones, the others are quarantined."""
+        return txn.settled(txn.resolve(self.classified, self.first_seen), F.col("_pipeline_run_id"))
+
+    @cached_property
+    def settled_table(self) -> DataFrame:
+        """The same, stored without the columns that no query reads."""
+        return self.staged(self.settled.drop("_source_file", "_bronze_ingested_at", "_promoted_at", "_rejected_at"), "settled")
+
     @cached_property
     def silver_table(self) -> DataFrame:
         """Silver as a stored table, for queries that read it more than once; without the columns

@@ -68,11 +68,13 @@ LAYER_COUNTS_SQL = with_(*LAYERS, daily("daily", "silver"), ALL_WEEKLY) + " UNIO
 
 @query("layer_counts", LAYER_COUNTS_SQL)
 def layer_counts(layers):
+    both = layers.settled_table
+    layers.silver_table = both.where("_accepted")  # what follows reads the stored rows as well
     return checks.layer_counts(
         {
             "bronze": layers.bronze,
             "silver": layers.silver_table,
-            "quarantine": layers.quarantine,
+            "quarantine": both.where("not _accepted"),
             "accounts": layers.accounts,
             "daily": dly.daily_summary(layers.silver_table, layers.codes),
             "all_weekly": layers.all_weekly,
@@ -293,7 +295,7 @@ def code_breakdown(layers):
          (SELECT COUNT(*) FROM quarantine WHERE reason = 'UNRESOLVABLE_ACCOUNT_ID') AS account_rejects""",
 )
 def silver_guards(layers):
-    return checks.silver_guards(layers.silver, layers.quarantine)
+    return checks.settled_guards(layers.settled)
 
 
 @query(

@@ -120,10 +120,9 @@ def txn_quarantine(layers):
          UNION ALL SELECT transaction_id, date, NULL, NULL, reason FROM quarantine""",
 )
 def txn_outcomes(layers):
-    both = txn.outcomes(layers.silver, layers.quarantine)
-    return doubles(
-        both.select("transaction_id", "date", "_signed_amount", "_is_resolvable", "_rejection_reason"), "_signed_amount"
-    )
+    """Both outputs in one relation, from one classification."""
+    signed = F.when(F.col("_accepted"), F.col("_signed_amount")).cast("double").alias("_signed_amount")
+    return layers.settled.select("transaction_id", "date", signed, "_is_resolvable", "_rejection_reason")
 
 
 @query(
@@ -157,7 +156,7 @@ ACCOUNTING_SQL = with_(*EVENTS) + """, by_date AS (
 
 @query("accounting_by_date", ACCOUNTING_SQL + "SELECT * FROM by_date")
 def accounting_by_date(layers):
-    return checks.accounting_by_date(layers.bronze, layers.silver, layers.quarantine)
+    return checks.accounting_of(layers.bronze, layers.settled)
 
 
 @query(

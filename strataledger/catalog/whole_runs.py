@@ -172,9 +172,9 @@ def run_weekly(layers):
                    INTERVAL 1 DAY)) AS DATE) AS day) days,
           LATERAL (
             SELECT 'bronze_accounts' AS model_name, 'BRONZE' AS layer, COUNT(*) AS records_processed,
-                   COUNT(*) AS records_written, CAST(NULL AS BIGINT) AS records_rejected
+                   COUNT(*) AS records_written, CAST(0 AS BIGINT) AS records_rejected
             FROM bronze_accounts WHERE date = day
-            UNION ALL SELECT 'bronze_transactions', 'BRONZE', COUNT(*), COUNT(*), NULL FROM bronze WHERE date = day
+            UNION ALL SELECT 'bronze_transactions', 'BRONZE', COUNT(*), COUNT(*), 0 FROM bronze WHERE date = day
             UNION ALL SELECT 'silver_transactions', 'SILVER', COUNT(*), COUNT(*) FILTER (WHERE reason IS NULL),
                    COUNT(*) FILTER (WHERE reason IS NOT NULL) FROM classified WHERE date = day
             UNION ALL SELECT 'silver_accounts', 'SILVER', COUNT(*) FILTER (WHERE date = day),

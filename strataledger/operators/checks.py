@@ -55,6 +55,17 @@ def accounting_by_date(bronze: DataFrame, silver: DataFrame, quarantine: DataFra
     return together.groupBy("date").agg(*sums).withColumn("discrepancy", gap)
 
 
+def accounting_of(bronze: DataFrame, settled: DataFrame) -> DataFrame:
+    """``accounting_by_date`` of rows that were settled in one pass (``_accepted`` tells their side)."""
+    sides = settled.groupBy("date").agg(
+        count_if(F.col("_accepted")).alias("silver_rows"), count_if(~F.col("_accepted")).alias("quarantine_rows")
+    )
+    together = _tagged(bronze, "bronze_rows").unionByName(sides, allowMissingColumns=True)
+    names = ["bronze_rows", "silver_rows", "quarantine_rows"]
+    gap = F.col("bronze_rows") - F.col("silver_rows") - F.col("quarantine_rows")
+    return together.groupBy("date").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).withColumn("discrepancy", gap)
+
+
 def accounting_total(by_date: DataFrame) -> DataFrame:
     names = ["bronze_rows", "silver_rows", "quarantine_rows", "discrepancy"]
     return by_date.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
@@ -101,14 +112,20 @@ def unresolvable_rate(silver: DataFrame) -> DataFrame:
 
 def silver_guards(silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Null signs, unresolvable rows present, and rejects that name the account as the reason."""
-    reason = F.col("_rejection_reason")
-    kept = silver.select("_signed_amount", "_is_resolvable", "_missing_merchant_name")
-    both = kept.unionByName(quarantine.select("_rejection_reason"), allowMissingColumns=True)
-    return both.agg(
-        count_if(reason.isNull() & F.col("_signed_amount").isNull()).alias("null_signed_amounts"),
-        count_if(~F.col("_is_resolvable")).alias("unresolvable_rows"),
-        count_if(F.col("_missing_merchant_name")).alias("missing_merchants"),
-        count_if(reason == "UNRESOLVABLE_ACCOUNT_ID").alias("account_rejects"),
+    sides = [silver.withColumn("_accepted", F.lit(True)), quarantine.withColumn("_accepted", F.lit(False))]
+    names = ("_accepted", "_signed_amount", "_is_resolvable", "_missing_merchant_name", "_rejection_reason")
+    kept, dropped = (rows.select(*[n for n in names if n in rows.columns]) for rows in sides)
+    return settled_guards(kept.unionByName(dropped, allowMissingColumns=True))
+
+
+def settled_guards(settled: DataFrame) -> DataFrame:
+    """``silver_guards`` of rows that were settled in one pass (``_accepted`` tells their side)."""
+    kept = F.col("_accepted")
+    return settled.agg(
+        count_if(kept & F.col("_signed_amount").isNull()).alias("null_signed_amounts"),
+        count_if(kept & ~F.col("_is_resolvable")).alias("unresolvable_rows"),
+        count_if(kept & F.col("_missing_merchant_name")).alias("missing_merchants"),
+        count_if(F.col("_rejection_reason") == "UNRESOLVABLE_ACCOUNT_ID").alias("account_rejects"),
     )
 
 

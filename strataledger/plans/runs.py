@@ -132,17 +132,17 @@ def run_batch(wh: Warehouse, batch: Batch, last: dt.date, log: RunLog, options:
     model = DATE_STEPS[0][0]
     try:
         started = now().isoformat()
-        loaded = steps.load_bronze(wh, batch, "accounts", schemas.SOURCE_ACCOUNTS)
+        loaded, broken = steps.load_bronze(wh, batch, "accounts", schemas.SOURCE_ACCOUNTS)
         for d in batch.dates:
-            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d], loaded[d])
+            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d] + broken[d], loaded[d], broken[d])
         model, started = "silver_accounts", now().isoformat()
         total, read, rejected = steps.promote_accounts(wh, batch)
         for d in batch.dates:
             log.add(model, "SILVER", "SUCCESS", d, started, read[d], total, rejected[d])
         model, started = "bronze_transactions", now().isoformat()
-        loaded = steps.load_bronze(wh, batch, "transactions", schemas.SOURCE_TRANSACTIONS)
+        loaded, broken = steps.load_bronze(wh, batch, "transactions", schemas.SOURCE_TRANSACTIONS)
         for d in batch.dates:
-            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d], loaded[d])
+            log.add(model, "BRONZE", "SUCCESS", d, started, loaded[d] + broken[d], loaded[d], broken[d])
         model, started = "silver_transactions", now().isoformat()
         kept, rejected = steps.promote_transactions(wh, batch, options.dup_scope)
         for d in batch.dates:

@@ -15,7 +15,7 @@ from strataledger.operators import daily as dly
 from strataledger.operators import transactions as txn
 from strataledger.operators import weekly as wk
 from strataledger.operators.checks import duplicate_keys
-from strataledger.sources.files import bronze_rows, remove
+from strataledger.sources.files import BROKEN, bronze_rows, remove, whole_rows
 from strataledger.sources.warehouse import Change, Warehouse, now, within
 
 PROCESSED, SILVER = "processed", "silver"
@@ -49,8 +49,22 @@ def by_partition(rows: DataFrame, column: str, partitions: int) -> DataFrame:
     return rows.hint("rebalance", column) if partitions > 1 else rows
 
 
-def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) -> dict:
-    """Ingest the files of the batch that are not loaded yet, all dates in one job.
+def write_bronze(wh: Warehouse, change: Change, rows: DataFrame, entity: str, dates: list[dt.date], run_id: str) -> tuple[dict, dict]:
+    """Write source rows of some dates within a change, sound and broken ones in one pass; returns the rows of both per date."""
+    if wh.strict:
+        rows = whole_rows(rows).withColumn(BROKEN, F.lit(None).cast("string"))
+    folder = change.folder(f"bronze/{entity}")
+    sides = [(broken, day) for broken in (False, True) for day in dates]
+    counts = wh.counted_write(rows.withColumn("_broken", F.col(BROKEN).isNotNull()), folder, ["_broken", "date"], sides)
+    sound, broken = ({day: counts[(side, day)] for day in dates} for side in (False, True))
+    change.place(f"bronze/{entity}", f"{folder}/_broken=false", sound)
+    change.place(f"bronze/broken_{entity}", f"{folder}/_broken=true", broken)
+    change.append("pipeline/loads", [(entity, day, run_id, sound[day], broken[day], now()) for day in dates])
+    return sound, broken
+
+
+def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) -> tuple[dict, dict]:
+    """Ingest the files of the batch that are not loaded yet, all dates in one job; returns sound and broken rows per date.
 
     Partitions and load rows become current in one commit, so a date is loaded wholly or not at all.
     """
@@ -61,27 +75,29 @@ def load_bronze(wh: Warehouse, batch: Batch, entity: str, schema: StructType) ->
         .collect()
     }
     todo = [d for d in batch.dates if d not in done]
+    none = {d: 0 for d in batch.dates}
     if not todo:
-        return {d: 0 for d in batch.dates}
+        return none, none
     paths = [f"{wh.source}/{entity}_{d}.csv" for d in todo]
     # No shuffle: every split belongs to one file, so to one date.
     rows = bronze_rows(wh.spark, paths, schema, batch.run_id, wh.multiline)
     change = wh.change(batch.run_id)
     try:
-        counts = change.parts(rows, f"bronze/{entity}", "date", todo)
-        change.append("pipeline/loads", [(entity, d, batch.run_id, counts[d], now()) for d in todo])
+        sound, broken = write_bronze(wh, change, rows, entity, todo, batch.run_id)
         change.commit()
     except BaseException:
         change.abandon()
         raise
-    return {d: counts.get(d, 0) for d in batch.dates}
+    return none | sound, none | broken
 
 
 def load_codes(wh: Warehouse, run_id: str) -> tuple[int, int]:
     """Ingest the code list once and promote it. A repeated code would multiply rows, so it fails."""
     written = 0
     if not wh.has_snapshot("bronze/transaction_codes"):
-        rows = bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], schemas.SOURCE_CODES, run_id, wh.multiline).drop("date", "_source_position")
+        # Rows depend on the whole code list, so a broken row in it fails the load.
+        read = bronze_rows(wh.spark, [f"{wh.source}/transaction_codes.csv"], schemas.SOURCE_CODES, run_id, wh.multiline)
+        rows = whole_rows(read).drop("date", "_source_position")
         written = wh.publish_snapshot(rows, "bronze/transaction_codes", run_id)
     codes = acc.promote_codes(wh.snapshot("bronze/transaction_codes"))
     repeated = duplicate_keys(codes.where("transaction_code IS NOT NULL"), ["transaction_code"]).limit(5).collect()

@@ -107,7 +107,8 @@ def violations(wh: Warehouse, start: str, end: str) -> dict[str, DataFrame]:
         """Dates of the range whose file and partition differ in rows, or that only one side has."""
         listed = within(source_dates(wh.spark, wh.source, entity), start, end)
         days = sorted(row[0] for row in listed.collect())  # the calendar bounds them
-        loaded = within(table, start, end).groupBy("date").agg(F.count(F.lit(1)).alias("loaded"))
+        both = table.select("date").unionByName(wh.dated(f"bronze/broken_{entity}").select("date"))
+        loaded = within(both, start, end).groupBy("date").agg(F.count(F.lit(1)).alias("loaded"))
         if not days:
             return loaded.withColumn("expected", F.lit(0).cast("long"))
         paths = [f"{wh.source}/{entity}_{day}.csv" for day in days]

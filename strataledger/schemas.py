@@ -75,6 +75,9 @@ BRONZE_TRANSACTIONS = _plus(SOURCE_TRANSACTIONS, BRONZE_AUDIT, SOURCE_POSITION,
 BRONZE_ACCOUNTS = _plus(SOURCE_ACCOUNTS, BRONZE_AUDIT, SOURCE_POSITION, FILE_DATE)
 BRONZE_CODES = _plus(SOURCE_CODES, BRONZE_AUDIT)
 
+# Rows of a source file with another number of fields than its header, as text.
+BROKEN_ROWS = _plus(_schema(("_broken_row", S)), BRONZE_AUDIT, SOURCE_POSITION, FILE_DATE)
+
 SILVER_TRANSACTIONS = _plus(
     SOURCE_TRANSACTIONS,
     _schema(
@@ -192,7 +195,9 @@ RUN_LOG = _schema(
 )
 
 # One row per source file whose bronze partition is complete; written after the partition.
-LOADS = _schema(("entity", S), ("date", D), ("run_id", S), ("records_written", L), ("loaded_at", TS))
+LOADS = _schema(
+    ("entity", S), ("date", D), ("run_id", S), ("records_written", L), ("records_broken", L), ("loaded_at", TS)
+)
 
 WEEKS = _schema(("week_start_date", D), ("week_end_date", D))
 

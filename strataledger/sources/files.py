@@ -53,24 +53,31 @@ def scanned(raw: DataFrame) -> DataFrame:
 
 
 def csv_rows(scan: DataFrame, schema: StructType) -> DataFrame:
-    """Typed rows of ``scanned`` text with their ``_source_position`` and ``_file``; rows must come in the scan's order.
+    """Typed rows of ``scanned`` text with their ``_source_position``, ``_file`` and ``_broken_row``; rows must come in the
+    scan's order.
 
-    A row with another number of fields than the header, such as the first half of a quoted line break,
-    fails the scan: it would shift values into other columns, and no later check could tell.
+    A row with another number of fields than the header, such as the first half of a quoted line break, would shift
+    values into other columns, and no later check could tell. Its text is in ``_broken_row``, which is null for all others.
     """
     within_split = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     place = F.col("_block").cast("decimal(15,0)") * F.lit(10**12).cast("decimal(13,0)")
     placed = scan.withColumn("_source_position", (place + within_split.cast("decimal(12,0)")).cast(POSITION))
+    # Spark does not read the column of broken rows alone, so its expression also names a source column.
+    broken = F.when(F.col(BROKEN).isNotNull() & (F.coalesce(F.length(schema.fieldNames()[0]), F.lit(0)) >= 0), F.col(BROKEN))
+    columns = [typed(f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return placed.select(*columns, "_source_position", "_file", broken.alias(BROKEN))
+
+
+def whole_rows(rows: DataFrame) -> DataFrame:
+    """``csv_rows`` without broken rows; one of them fails the scan."""
     message = F.concat(F.lit("CSV row with a wrong number of fields: "), F.col(BROKEN))
-    # Spark does not read the column of broken rows alone, so the test also names a source column.
-    fine = F.col(BROKEN).isNull() & (F.coalesce(F.length(schema.fieldNames()[0]), F.lit(0)) >= 0)
-    whole = placed.where(F.when(fine, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    return whole.select(*[typed(f.name, f.dataType).alias(f.name) for f in schema.fields], "_source_position", "_file")
+    fine = F.when(F.col(BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(fine).drop(BROKEN)
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType, multiline: bool = False) -> DataFrame:
-    """Source rows with stated types. A header that names other columns is an error; a value that
-    does not parse becomes null and is left to the quality rules."""
+    """Source rows with stated types, and the text of broken ones. A header that names other columns is an error; a
+    value that does not parse becomes null and is left to the quality rules."""
     return csv_rows(scanned(csv_options(spark.read, schema, multiline).csv(paths)), schema)
 
 
@@ -81,7 +88,7 @@ def audited_rows(rows: DataFrame, run_id: str) -> DataFrame:
 
 
 def bronze_rows(spark: SparkSession, paths: list[str], schema: StructType, run_id: str, multiline: bool = False) -> DataFrame:
-    """Source rows with their position, audit columns and the file ``date``."""
+    """Source rows, broken ones among them, with their position, audit columns and the file ``date``."""
     return audited_rows(read_csv(spark, paths, schema, multiline), run_id)
 
 

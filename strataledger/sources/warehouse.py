@@ -133,6 +133,8 @@ class Warehouse:
     DATED = {
         "bronze/transactions": schemas.BRONZE_TRANSACTIONS,
         "bronze/accounts": schemas.BRONZE_ACCOUNTS,
+        "bronze/broken_transactions": schemas.BROKEN_ROWS,
+        "bronze/broken_accounts": schemas.BROKEN_ROWS,
         "silver/transactions": schemas.SILVER_TRANSACTIONS,
         "quarantine/transactions": schemas.QUARANTINE_TRANSACTIONS,
         "quarantine/accounts": schemas.QUARANTINE_ACCOUNTS,
@@ -155,12 +157,14 @@ class Warehouse:
     SETTLED = "settled/transactions"
     LEDGER = "ledger/accepted_ids"
 
-    def __init__(self, spark: SparkSession, root: str, source: str, multiline: bool = False):
-        """``multiline``: source files may hold line breaks inside quotes."""
+    def __init__(self, spark: SparkSession, root: str, source: str, multiline: bool = False, strict: bool = False):
+        """``multiline``: source files may hold line breaks inside quotes. ``strict``: a row with a wrong number of
+        fields fails the load; otherwise it is kept as text in a table of its own."""
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.source = source.rstrip("/")
         self.multiline = multiline
+        self.strict = strict
         self.commits = Commits(self.spark, self.path("pipeline/commits"))
         self._state: State | None = None
 
@@ -310,8 +314,8 @@ class Warehouse:
     def unreferenced(self) -> list[str]:
         """Folders that no commit names, left by runs that ended early. A run that is still writing has some too."""
         known = self.commits.latest()
-        current = {folder.split("/_accepted=")[0] for folder in known.folders()}
-        current |= {folder.split("/_accepted=")[0].split("/date=")[0].split("/week_start_date=")[0] for _, folder in known.stale}
+        current = {folder.split("/_accepted=")[0].split("/_broken=")[0] for folder in known.folders()}
+        current |= {folder.split("/_accepted=")[0].split("/_broken=")[0].split("/date=")[0].split("/week_start_date=")[0] for _, folder in known.stale}
         tables = [*self.DATED, *self.SNAPSHOT, *self.APPENDED, self.WEEKLY, self.PARTIALS, self.SETTLED, self.LEDGER]
         found = [f"{table}/{name}" for table in tables for name in self.commits.files.names(self.path(table)) if "=" in name]
         return [folder for folder in found if folder not in current]

@@ -15,7 +15,8 @@ from pyspark.sql.types import StructType
 
 from strataledger.functions.audit import new_run_id
 from strataledger.plans import control, runs
-from strataledger.sources.files import audited_rows, csv_options, csv_rows, remove, scanned
+from strataledger.plans.steps import write_bronze
+from strataledger.sources.files import BROKEN, audited_rows, csv_options, csv_rows, remove, scanned
 from strataledger.sources.warehouse import Warehouse, now
 
 
@@ -26,20 +27,29 @@ def arriving_rows(wh: Warehouse, entity: str, schema: StructType) -> DataFrame:
 
 
 def append_new_dates(wh: Warehouse, entity: str, run_id: str):
-    """``foreachBatch`` writer: dates already loaded are skipped, so a repeated batch changes nothing."""
-    table = f"bronze/{entity}"
+    """``foreachBatch`` writer. Rows, load rows and log rows become current in one commit, and dates already loaded are
+    skipped, so a batch that is repeated after a crash at any point changes nothing."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        wh.refresh()  # runs may have committed since the last batch
         loaded = wh.appended("pipeline/loads").where(F.col("entity") == entity).select("date")
         # The calendar bounds the loaded dates. Dates are brought together before they are written.
+        if BROKEN not in rows.columns:  # rows that come from no text
+            rows = rows.withColumn(BROKEN, F.lit(None).cast("string"))
         fresh = rows.join(F.broadcast(loaded), "date", "left_anti").hint("rebalance", "date")
         staged, path = wh.stage(fresh, f"stream-{entity}")
         change = wh.change(run_id)
         try:
             days = [row[0] for row in staged.select("date").distinct().collect()]
             if days:
-                counts = change.parts(staged.hint("rebalance", "date"), table, "date", days)
-                change.append("pipeline/loads", [(entity, d, run_id, counts[d], now()) for d in days])
+                started = now().isoformat()
+                sound, broken = write_bronze(wh, change, staged.hint("rebalance", "date"), entity, days, run_id)
+                # The rows carry this run's id, so the log must know it.
+                log = runs.RunLog(run_id)
+                for day in days:
+                    read = sound[day] + broken[day]
+                    log.add(f"bronze_{entity}", "BRONZE", "SUCCESS", day, started, read, sound[day], broken[day])
+                change.append("pipeline/run_log", list(log.rows.values()))
                 change.commit()
         except BaseException:
             change.abandon()

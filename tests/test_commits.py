@@ -15,8 +15,10 @@ from strataledger.operators import transactions as txn
 from strataledger.plans import control, runs, steps, verify
 from strataledger.sources import warehouse
 from strataledger.sources.commits import Commits, ConcurrentRun, State
+from strataledger.sources.files import bronze_rows
 from strataledger.sources.ledger import IdLedger
 from strataledger.sources.warehouse import Change, Warehouse
+from strataledger.streaming.file_stream import append_new_dates
 
 
 @pytest.fixture
@@ -91,6 +93,31 @@ def test_a_promotion_that_ends_anywhere_leaves_the_tables_of_one_commit(wh, monk
     assert again(wh).clean() and tables(wh) == after and again(wh).unreferenced() == []
 
 
+def test_a_repeated_stream_batch_changes_nothing(wh, monkeypatch):
+    sample.write_codes(wh.source)
+    sample.write_day(wh.source, "2024-01-01", ["T1,ACC-001,2024-01-01,1.00,PURCH01,M,ONLINE"], [])
+    rows = bronze_rows(wh.spark, [f"{wh.source}/transactions_2024-01-01.csv"], steps.schemas.SOURCE_TRANSACTIONS, "r")
+    write, claim = append_new_dates(wh, "transactions", "r"), Commits.claim
+
+    def lost(*args):
+        raise Killed
+
+    monkeypatch.setattr(Commits, "claim", lost)  # after the files are written, before they are current
+    with pytest.raises(Killed):
+        write(rows, 0)
+    monkeypatch.setattr(Commits, "claim", claim)
+    assert again(wh).dated("bronze/transactions").count() == 0 and again(wh).appended("pipeline/loads").count() == 0
+    for _ in range(2):
+        write(rows, 0)
+        assert again(wh).dated("bronze/transactions").count() == again(wh).appended("pipeline/loads").count() == 1
+    # A run of another reader moves the tables on; the stream follows them.
+    sample.write_week(wh.source, [2])
+    steps.load_codes(again(wh), "other")
+    later = bronze_rows(wh.spark, [f"{wh.source}/transactions_2024-01-02.csv"], steps.schemas.SOURCE_TRANSACTIONS, "r")
+    write(later, 1)
+    assert again(wh).dated("bronze/transactions").count() == 6 and again(wh).has_snapshot("silver/transaction_codes")
+
+
 def test_every_row_is_written_once_and_counted_on_the_way(wh, monkeypatch):
     sample.write_week(wh.source, [1, 2])
     runs.historical(wh, "2024-01-01", "2024-01-01")

@@ -223,9 +223,9 @@ def test_partial_bronze_partition_is_replaced(wh):
     rows, _ = wh.stage(wh.dated("bronze/transactions").limit(2), "part")
     other = Warehouse(wh.spark, wh.root + "-2", wh.source)
     rows.write.partitionBy("date").parquet(other.path("bronze/transactions"))
-    assert steps.load_bronze(other, runs_batch, "transactions", steps.schemas.SOURCE_TRANSACTIONS) == {sample.day(1): 5}
+    assert steps.load_bronze(other, runs_batch, "transactions", steps.schemas.SOURCE_TRANSACTIONS) == ({sample.day(1): 5}, {sample.day(1): 0})
     assert other.dated("bronze/transactions").count() == 5
-    assert steps.load_bronze(other, runs_batch, "transactions", steps.schemas.SOURCE_TRANSACTIONS) == {sample.day(1): 0}
+    assert steps.load_bronze(other, runs_batch, "transactions", steps.schemas.SOURCE_TRANSACTIONS) == ({sample.day(1): 0}, {sample.day(1): 0})
 
 
 def test_repeated_codes_fail(wh):

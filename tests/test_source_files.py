@@ -10,9 +10,9 @@ import sample
 
 from strataledger import schemas
 from strataledger.operators import checks
-from strataledger.plans import control, runs, verify
+from strataledger.plans import control, runs, steps, verify
 from strataledger.plans.runs import RunOptions
-from strataledger.sources.files import read_csv
+from strataledger.sources.files import read_csv, whole_rows
 from strataledger.sources.warehouse import Warehouse
 from strataledger.streaming import file_stream
 
@@ -46,19 +46,55 @@ def test_quotes_empty_texts_and_amounts(spark, tmp_path):
 
 def test_line_breaks_in_quotes(spark, tmp_path):
     rows = [line("A", '"two\nlines"'), line("B")]
-    strict = warehouse(spark, tmp_path / "strict")
+    strict = warehouse(spark, tmp_path / "strict", strict=True)
     sample.write_day(strict.source, "2024-01-01", rows, [sample.account_line(1, "1.00")])
     with pytest.raises(Exception, match="wrong number of fields"):
         runs.historical(strict, "2024-01-01", "2024-01-01")
     assert strict.dated("silver/transactions").count() == 0
     with pytest.raises(Exception, match="wrong number of fields"):
-        read_csv(spark, f"{strict.source}/transactions_2024-01-01.csv", schemas.SOURCE_TRANSACTIONS).select("channel").collect()
+        whole_rows(read_csv(spark, f"{strict.source}/transactions_2024-01-01.csv", schemas.SOURCE_TRANSACTIONS)).select("channel").collect()
     loose = warehouse(spark, tmp_path / "loose", multiline=True)
     sample.write_day(loose.source, "2024-01-01", rows, [sample.account_line(1, "1.00")])
     runs.historical(loose, "2024-01-01", "2024-01-01")
     assert {r.merchant_name for r in loose.dated("silver/transactions").collect()} == {"two\nlines", "M"}
 
 
+@pytest.mark.parametrize("kind", ["batch", "stream"])
+def test_a_broken_row_is_kept_beside_the_others(spark, tmp_path, kind):
+    wh = warehouse(spark, tmp_path)
+    rows = [line("A"), "B,ACC-001,2024-01-01", line("C") + ",one,too,many", line("D")]
+    sample.write_day(wh.source, "2024-01-01", rows, [sample.account_line(1, "1.00")])
+    sample.write_day(wh.source, "2024-01-02", ["only this"], [sample.account_line(1, "2.00")])
+    if kind == "stream":
+        for entity, schema in (("accounts", schemas.SOURCE_ACCOUNTS), ("transactions", schemas.SOURCE_TRANSACTIONS)):
+            file_stream.ingest_available(wh, entity, schema, str(tmp_path / "marks" / entity)).awaitTermination()
+    run_id = runs.historical(wh, "2024-01-01", "2024-01-02")
+    assert sorted(r.transaction_id for r in wh.dated("silver/transactions").collect()) == ["A", "D"]
+    broken = wh.dated("bronze/broken_transactions").orderBy("date", "_source_position").collect()
+    assert [(r._broken_row, r._source_file) for r in broken] == [
+        (rows[1], "transactions_2024-01-01.csv"), (rows[2], "transactions_2024-01-01.csv"), ("only this", "transactions_2024-01-02.csv"),
+    ]
+    assert len({r._source_position for r in broken[:2]}) == 2
+    loads = {(r.entity, r.date.day): (r.records_written, r.records_broken) for r in wh.appended("pipeline/loads").collect()}
+    assert loads[("transactions", 1)] == (2, 2) and loads[("transactions", 2)] == (0, 1) and loads[("accounts", 1)] == (1, 0)
+    log = runs.log_of(wh, run_id).where("model_name = 'bronze_transactions' and target_date = '2024-01-01'").first()
+    if kind == "batch":
+        assert (log.records_processed, log.records_written, log.records_rejected) == (4, 2, 2)
+    assert violated(wh) == set()
+
+
+def test_accounting_stops_a_promotion_before_it_is_visible(spark, tmp_path, monkeypatch):
+    wh = warehouse(spark, tmp_path)
+    sample.write_week(wh.source, [1])
+    counted = Warehouse.rows_of
+    monkeypatch.setattr(Warehouse, "rows_of", lambda self, name, values: {v: n + (name == "bronze/transactions") for v, n in counted(self, name, values).items()})
+    with pytest.raises(steps.DataQualityError, match="bronze rows"):
+        runs.historical(wh, "2024-01-01", "2024-01-01")
+    assert wh.dated("silver/transactions").count() == wh.dated("quarantine/transactions").count() == 0
+    assert wh.accepted_ids() is None and control.get_watermark(wh) is None
+    assert not any("settled" in folder for folder in wh.unreferenced())
+
+
 def test_stream_and_batch_keep_the_same_rows(spark, tmp_path):
     """One file with every id three times, read in many small splits."""
     rows = [line(f"T{i}", f"send {n}") for n in range(3) for i in range(2000)]
