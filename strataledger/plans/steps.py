@@ -107,21 +107,26 @@ def load_codes(wh: Warehouse, run_id: str) -> tuple[int, int]:
 
 
 def promote_accounts(wh: Warehouse, batch: Batch) -> tuple[int, dict, dict]:
-    """Upsert the accepted account rows of the batch and quarantine the others per file date, in one commit.
-    Returns the size of the snapshot, and rows read and rejected per date."""
+    """Upsert the accepted account rows of the batch and quarantine the others per file date, in one commit. Only the
+    buckets of the batch's accounts are read and rewritten. Returns the size of the snapshot, and rows read and
+    rejected per date."""
     bronze = wh.dated_with_position("bronze/accounts", *batch.bounds)
     read = wh.rows_of("bronze/accounts", batch.dates)
     classified = acc.classify_accounts(bronze)
-    change = wh.change(batch.run_id)
+    change, path = wh.change(batch.run_id), None
     try:
         rejects = by_partition(acc.rejected_accounts(classified), "date", len(batch.dates))
         rejected = change.parts(rejects, "quarantine/accounts", "date", batch.dates)
-        incoming = acc.incoming_accounts(acc.passing(classified), "_row_tag")
-        total = change.snapshot(acc.upsert(wh.snapshot("silver/accounts"), incoming), "silver/accounts")
+        incoming, path = wh.stage(acc.incoming_accounts(acc.passing(classified), "_row_tag"), "incoming-accounts")
+        touched = [row[0] for row in incoming.select(wh.bucket()).distinct().collect()]  # no more than there are buckets
+        total = wh.write_accounts(change, acc.upsert(wh.accounts_in(touched), incoming), touched)
         change.commit()
     except BaseException:
         change.abandon()
         raise
+    finally:
+        if path:
+            remove(wh.spark, path)
     return total, read, rejected
 
 

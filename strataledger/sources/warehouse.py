@@ -142,7 +142,6 @@ class Warehouse:
     SNAPSHOT = {
         "bronze/transaction_codes": schemas.BRONZE_CODES,
         "silver/transaction_codes": schemas.SILVER_CODES,
-        "silver/accounts": schemas.SILVER_ACCOUNTS_STORED,
         "gold/daily_summary": schemas.GOLD_DAILY,
         "pipeline/control": schemas.CONTROL,
     }
@@ -156,6 +155,8 @@ class Warehouse:
     # Accepted and rejected rows of a batch, written in one pass; silver and quarantine are parts of it.
     SETTLED = "settled/transactions"
     LEDGER = "ledger/accepted_ids"
+    # The account snapshot, in buckets of the id's hash: an increment rewrites the buckets of its accounts.
+    ACCOUNTS = "silver/accounts"
 
     def __init__(self, spark: SparkSession, root: str, source: str, multiline: bool = False, strict: bool = False):
         """``multiline``: source files may hold line breaks inside quotes. ``strict``: a row with a wrong number of
@@ -176,7 +177,7 @@ class Warehouse:
 
     def column(self, name: str) -> str:
         """The partition column of a table."""
-        return "week_start_date" if name == self.WEEKLY else "date"
+        return {self.WEEKLY: "week_start_date", self.ACCOUNTS: "bucket"}.get(name, "date")
 
     # State
 
@@ -209,10 +210,13 @@ class Warehouse:
         reader = self.spark.read.schema(schema).option("basePath", self.path(base))
         return reader.parquet(*map(self.path, folders)).select(*schema.fieldNames())
 
-    def _parts(self, name: str, schema: StructType) -> DataFrame:
+    def _parts(self, name: str, schema: StructType, only: Iterable | None = None) -> DataFrame:
+        """All parts of a table, or those of some partition values."""
+        wanted = None if only is None else set(map(str, only))
         values: dict[str, list[str]] = {}
         for value, (folder, _) in self.state.parts.get(name, {}).items():
-            values.setdefault(folder, []).append(value)
+            if wanted is None or value in wanted:
+                values.setdefault(folder, []).append(value)
         folders: list[str] = []
         for folder, held in values.items():
             whole = len(held) == self.state.sizes[folder]
@@ -233,6 +237,8 @@ class Warehouse:
         return name in self.state.snapshots
 
     def snapshot(self, name: str) -> DataFrame:
+        if name == self.ACCOUNTS:
+            return self._parts(name, schemas.SILVER_ACCOUNTS_STORED)
         return self.read(self.SNAPSHOT[name], name, [self.state.snapshots[name]] if self.has_snapshot(name) else [])
 
     def weekly(self) -> DataFrame:
@@ -291,7 +297,7 @@ class Warehouse:
     def publish_snapshot(self, rows: DataFrame, name: str, run_id: str) -> int:
         """Write the next version and make it current; returns its rows."""
         change = self.change(run_id)
-        count = change.snapshot(rows, name)
+        count = self.write_accounts(change, rows, range(self.buckets())) if name == self.ACCOUNTS else change.snapshot(rows, name)
         change.commit()
         return count
 
@@ -315,8 +321,8 @@ class Warehouse:
         """Folders that no commit names, left by runs that ended early. A run that is still writing has some too."""
         known = self.commits.latest()
         current = {folder.split("/_accepted=")[0].split("/_broken=")[0] for folder in known.folders()}
-        current |= {folder.split("/_accepted=")[0].split("/_broken=")[0].split("/date=")[0].split("/week_start_date=")[0] for _, folder in known.stale}
-        tables = [*self.DATED, *self.SNAPSHOT, *self.APPENDED, self.WEEKLY, self.PARTIALS, self.SETTLED, self.LEDGER]
+        current |= {folder.split("/_accepted=")[0].split("/_broken=")[0].split("/date=")[0].split("/week_start_date=")[0].split("/bucket=")[0] for _, folder in known.stale}
+        tables = [*self.DATED, *self.SNAPSHOT, *self.APPENDED, self.WEEKLY, self.PARTIALS, self.SETTLED, self.LEDGER, self.ACCOUNTS]
         found = [f"{table}/{name}" for table in tables for name in self.commits.files.names(self.path(table)) if "=" in name]
         return [folder for folder in found if folder not in current]
 
@@ -327,12 +333,28 @@ class Warehouse:
             remove(self.spark, self.path(folder))
         return found
 
-    # Accepted ids
+    # Buckets
+
+    def buckets(self) -> int:
+        """The number of buckets of accounts and accepted ids: that of the session's shuffles when the warehouse was new."""
+        return self.state.settings.setdefault("buckets", int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("account_id"), F.lit(self.buckets())).cast("int")
+
+    def accounts_in(self, buckets: list[int]) -> DataFrame:
+        """Stored rows of some buckets; the others are not read."""
+        return self._parts(self.ACCOUNTS, schemas.SILVER_ACCOUNTS_STORED, buckets)
+
+    def write_accounts(self, change: Change, rows: DataFrame, buckets: Iterable[int]) -> int:
+        """Replace some buckets of the account snapshot within a change; returns the rows of the whole snapshot."""
+        buckets = list(buckets)
+        counts = change.parts(rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket"), self.ACCOUNTS, "bucket", buckets)
+        kept = self.state.parts.get(self.ACCOUNTS, {})
+        return sum(counts.values()) + sum(n for value, (_, n) in kept.items() if int(value) not in counts)
 
     def ledger(self) -> IdLedger:
-        """The number of buckets is that of the session's shuffles when the warehouse was new."""
-        buckets = self.state.settings.setdefault("ledger_buckets", int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        return IdLedger(self.spark, self.path(self.LEDGER), buckets)
+        return IdLedger(self.spark, self.path(self.LEDGER), self.buckets())
 
     def _ledger_dates(self) -> dict[str, list[str]]:
         dates: dict[str, list[str]] = {}

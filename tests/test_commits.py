@@ -133,6 +133,24 @@ def test_every_row_is_written_once_and_counted_on_the_way(wh, monkeypatch):
     assert not any("silver/transactions" in path or "quarantine/transactions" in path for path in written)
 
 
+def test_an_increment_rewrites_the_buckets_of_its_accounts(wh):
+    sample.write_codes(wh.source)
+    sample.write_day(wh.source, "2024-01-01", [], [sample.account_line(n, f"{n}.00") for n in range(1, 41)])
+    sample.write_day(wh.source, "2024-01-02", [], [sample.account_line(7, "700.00")])
+    runs.historical(wh, "2024-01-01", "2024-01-01")
+    before = dict(wh.state.parts[wh.ACCOUNTS])
+    assert len(before) == wh.buckets() > 1 and sum(n for _, n in before.values()) == 40
+    run_id = runs.incremental(wh)
+    after = wh.state.parts[wh.ACCOUNTS]
+    changed = {bucket for bucket in after if after[bucket][0] != before[bucket][0]}
+    own = wh.accounts().where("account_id = 'ACC-007'").select(wh.bucket()).first()[0]
+    assert changed == {str(own)} and after[str(own)][1] == before[str(own)][1]
+    balances = {r.account_id: r.current_balance for r in again(wh).accounts().collect()}
+    assert len(balances) == 40 and balances["ACC-007"] == 700 and balances["ACC-008"] == 8
+    log = runs.log_of(wh, run_id).where("model_name = 'silver_accounts'").first()
+    assert (log.records_processed, log.records_written) == (1, 40)
+
+
 def test_rows_outside_the_partitions_are_an_error(wh):
     rows = wh.spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 2))], "x string, date date")
     with pytest.raises(ValueError, match="outside"):
