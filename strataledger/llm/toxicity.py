@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -131,11 +132,10 @@ def kneser_ney(counts: Counts, shared: Counter, words: dict, pairs: dict, bound:
     return model
 
 
-def log_likelihoods(model: Model, words: list[bytes]) -> tuple[float, float, int]:
+def log_likelihoods(model: Model, found: set | frozenset) -> tuple[float, float, int]:
     """Toxic and ordinary log-likelihood of a text's expressions, and their number."""
     toxic = ordinary = 0.0
     single, pair, kept, unseen = model.single, model.pair, model.kept, model.unseen
-    found = expressions(words)
     for expression in found:
         head, word = expression
         both = pair.get(expression)
@@ -177,13 +177,15 @@ def fit_logistic(rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
     return weights, scale, float(loss)
 
 
-def train(documents: list[list[bytes]], labels: np.ndarray) -> Model:
+def train(documents: Iterable[list[bytes]], labels: np.ndarray) -> Model:
     """Texts of one label with the same set of expressions count once; every other labelled text is learned from."""
-    unique: dict = {}
+    # Texts share their words and expressions, so that the driver holds each of these once.
+    words_seen, pairs_seen, unique = {}, {}, {}
     for words, label in zip(documents, labels):
-        found = expressions(words)
-        unique.setdefault((frozenset(found), int(label)), (words, found, label))
-    documents, sets, labels = ([row[i] for row in unique.values()] for i in range(3))
+        pairs = expressions([words_seen.setdefault(word, word) for word in words])
+        unique.setdefault((frozenset(pairs_seen.setdefault(pair, pair) for pair in pairs), int(label)), label)
+    sets, labels = [found for found, _ in unique], list(unique.values())
+    del words_seen, pairs_seen, unique
     labels = np.array(labels, np.float64)
     fold = np.arange(len(labels)) % FOLDS
     if any(len(set(labels[fold != f])) < 2 for f in range(FOLDS)):
@@ -208,7 +210,7 @@ def train(documents: list[list[bytes]], labels: np.ndarray) -> Model:
         own = np.where(fold == f)[0]
         for bound in EVIDENCE:
             model = kneser_ney(*counts, bound)
-            rows[bound][own] = features(*np.array([log_likelihoods(model, documents[i]) for i in own]).T)
+            rows[bound][own] = features(*np.array([log_likelihoods(model, sets[i]) for i in own]).T)
     fitted = {bound: fit_logistic(rows[bound], labels) for bound in EVIDENCE}
     best = min(EVIDENCE, key=lambda bound: fitted[bound][2])
     model = kneser_ney(*counted(range(len(labels))), best)
@@ -228,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
 
     doc_type = sample.schema["doc_id"].dataType.simpleString()
     rows = sample.mapInArrow(cut, f"doc_id {doc_type}, label int, words binary").toArrow().sort_by("doc_id")
-    documents = [w.as_py().split() for w in rows.column("words")]
+    documents = (text.as_py().split() for text in rows.column("words"))
     return train(documents, rows.column("label").to_numpy().astype(np.float64))
 
 
@@ -240,7 +242,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         own = shared.value
         for batch in blocks(batches):
             texts = utf8(batch.column("text"))
-            likely = np.array([log_likelihoods(own, words_of(t)) for t in texts], np.float64).reshape(-1, 3)
+            likely = np.array([log_likelihoods(own, expressions(words_of(t))) for t in texts], np.float64).reshape(-1, 3)
             each = likely / np.maximum(likely[:, 2:], 1)
             schema = pa.schema(
                 [("doc_id", batch.column("doc_id").type)]
