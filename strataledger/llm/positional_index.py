@@ -7,8 +7,13 @@ shifted postings of the second rarest term, and what is left with those of all o
 documents that still have candidates are read in the later steps. All of it is joins and grouping, and no
 step lists pairs of documents.
 
+A proximity match is found from the same lists: an occurrence of the phrase's rarest term counts if all its other
+different terms lie at most ``NEAR`` words away, in any order. Positions are cut into blocks, so a list is only compared
+with the neighbouring blocks of its document. The two rarest terms decide first; the words around what is left, at
+most 2 * NEAR + 1 of them, then decide on all phrases at once. Of equally rare terms the first of the phrase counts as rarest.
+
 Words are runs of characters other than ASCII separators after lower-casing A-Z. Documents are
-told apart by a 64-bit hash of id and text, so repeated rows are one document to the index and each
+told apart by a 128-bit hash of id and text, so repeated rows are one document to the index and each
 get the result.
 
 Defined results: null or empty texts have no words, no hits and no items; test texts without words match nothing.
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 from strataledger.llm.common import small_side, stored
 
 WINDOW = 10
+# Two words more than a window has, so that a window with words put in, left out or moved is still found.
+NEAR = WINDOW + 2
 # ASCII characters that separate words; upper-case letters are turned into lower case first.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,7 +56,9 @@ def phrases(items: DataFrame) -> DataFrame:
 
 
 def document_key() -> Column:
-    return F.xxhash64("doc_id", "text")
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    own = F.concat(F.length(doc_id).cast("string"), F.lit(":"), doc_id, F.coalesce("text", F.lit("")))
+    return F.unhex(F.md5(own))
 
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -77,16 +86,16 @@ def postings(index: DataFrame) -> DataFrame:
 
 def by_rarity(index: DataFrame, wanted: DataFrame) -> DataFrame:
     """Phrases all of whose words occur, with column terms: (number of postings, offset, word), rarest first."""
-    counts = postings(index).groupBy("word").agg(F.count(F.lit(1)).alias("postings"))
+    counts = stored(postings(index).groupBy("word").agg(F.count(F.lit(1)).alias("postings")), "counts")
     words = wanted.select("phrase", "words", "n").distinct()
-    terms = words.select("phrase", "n", F.posexplode("words").alias("offset", "word")).join(counts, "word")
+    # A frequent word stands in very many phrases, so its count goes to them.
+    terms = words.select("phrase", "n", F.posexplode("words").alias("offset", "word")).join(small_side(counts), "word")
     ranked = terms.groupBy("phrase", "n").agg(F.sort_array(F.collect_list(F.struct("postings", "offset", "word"))).alias("terms"))
     return stored(ranked.where(F.size("terms") == F.col("n")), "phrases")  # at most WINDOW terms each
 
 
-def phrase_matches(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Columns doc, phrase, n and start of every exact occurrence of every phrase."""
-    ranked = by_rarity(index, wanted)
+def phrase_matches(index: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Columns doc, phrase, n and start of every exact occurrence of every phrase of ``by_rarity``."""
 
     def lists(place: int) -> DataFrame:
         term = F.get("terms", F.lit(place))
@@ -112,41 +121,73 @@ def phrase_matches(index: DataFrame, wanted: DataFrame) -> DataFrame:
     return single.union(both.where("n = 2")).union(whole).select("doc", "phrase", "n", "start")
 
 
-def proximity_matches(index: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
+def proximity_matches(index: DataFrame, ranked: DataFrame, reach: int = NEAR) -> DataFrame:
     """Columns doc, phrase and pos: occurrences of a phrase's rarest term that have every other term of the
     phrase, in any order, at most ``reach`` words away."""
-    ranked = by_rarity(index, wanted)
-    different = F.array_distinct(F.transform("terms", lambda t: t["word"]))
-    listed = ranked.select("phrase", different.alias("words")).withColumn("asked", F.size("words"))
-    places = postings(index).distinct()
-    anchors = places.join(listed, places["word"] == F.get("words", F.lit(0))).select("doc", "phrase", "words", "asked", "pos")
+    words = F.array_distinct(F.transform("terms", lambda t: t["word"]))
+    listed = ranked.select("phrase", words.alias("words"))
+    listed = listed.select(
+        "phrase",
+        F.get("words", F.lit(0)).alias("first"),
+        F.coalesce(F.get("words", F.lit(1)), F.get("words", F.lit(0))).alias("second"),
+        F.slice("words", 3, WINDOW).alias("others"),
+    )
+    listed = stored(listed, "listed")
+    # The lists of two terms are compared once, in however many phrases these are the rarest.
+    pairs = listed.select("first", "second").distinct()
     block = F.floor(F.col("pos") / (reach + 1))
     around = F.explode(F.sequence(block - 1, block + 1)).alias("block")
-    wide = anchors.select("doc", "phrase", "asked", "pos", "words", around)
-    wide = wide.select("doc", "phrase", "asked", "pos", "block", F.explode("words").alias("word"))
-    near = places.select("doc", "word", F.col("pos").alias("at"), block.alias("block"))
-    found = wide.join(near, ["doc", "word", "block"]).where(F.abs(F.col("at") - F.col("pos")) <= reach)
-    found = found.groupBy("doc", "phrase", "asked", "pos").agg(F.count_distinct("word").alias("found"))
-    return found.where("found = asked").select("doc", "phrase", "pos")
+    anchors = postings(index).withColumnRenamed("word", "first").join(small_side(pairs), "first").distinct()
+    anchors = stored(anchors.select("doc", "pos", "first", "second"), "anchors")
+    alone = anchors.where("first = second")
+    asked = anchors.where("first != second").select("doc", "pos", "first", "second", around)
+    held = postings(index).join(small_side(pairs.select(F.col("second").alias("word")).distinct()), "word", "left_semi")
+    held = held.join(small_side(anchors.select("doc").distinct()), "doc", "left_semi")
+    held = held.select("doc", F.col("word").alias("second"), F.col("pos").alias("at"), block.alias("block")).distinct()
+    close = F.abs(F.col("at") - F.col("pos")) <= reach
+    together = asked.hint("merge").join(held, ["doc", "block", "second"]).where(close).select("doc", "pos", "first", "second")
+    left = stored(alone.union(together.distinct()), "pairs")
+
+    places = left.select("doc", "pos").distinct().select("doc", "pos", around)
+    held = postings(index).join(small_side(left.select("doc").distinct()), "doc", "left_semi")
+    held = held.select("doc", "word", F.col("pos").alias("at"), block.alias("block"))
+    found = places.hint("merge").join(held, ["doc", "block"]).where(close)
+    # At most 2 * reach + 1 words lie around a place.
+    found = found.groupBy("doc", "pos").agg(F.collect_set("word").alias("found"))
+    whole = left.join(found, ["doc", "pos"]).join(small_side(listed), ["first", "second"])
+    return whole.where(F.size(F.array_except("others", "found")) == 0).select("doc", "phrase", "pos")
+
+
+def named_items(matches: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """Columns doc and ``name``: the sorted ids, as text, of the test texts that the matched phrases stand in."""
+    named = wanted.where("item_id is not null").select("phrase", F.col("item_id").cast("string").alias("item"))
+    found = matches.select("doc", "phrase").distinct().join(small_side(stored(named, "named")), "phrase").select("doc", "item").distinct()
+    return found.groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias(name))
+
 
+def contamination(docs: DataFrame, items: DataFrame, near: bool = False) -> DataFrame:
+    """Every document row with its key doc, n_words, n_hit, items (sorted ids as text of the test texts found in it) and contaminated.
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Every document row with its key doc, n_words, n_hit, items (sorted ids as text of the test texts found in it) and contaminated."""
+    With ``near`` also near_items: ids of the test texts that have a window with a proximity match in it.
+    """
     wanted = stored(phrases(items.select("item_id", "text")), "windows")
     index = build_index(docs, wanted.select(F.explode("words").alias("word")).distinct())
-    matches = stored(phrase_matches(index, wanted), "matches")
+    ranked = by_rarity(index, wanted)
+    matches = stored(phrase_matches(index, ranked), "matches")
     covered = matches.select("doc", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")).distinct()
     hits = covered.groupBy("doc").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = wanted.where("item_id is not null").select("phrase", F.col("item_id").cast("string").alias("item"))
-    found = matches.select("doc", "phrase").distinct().join(named, "phrase").select("doc", "item").distinct()
-    listed = found.groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    rows = index.where("word is null").select("doc", "doc_id", "n_words")
-    return rows.join(hits, "doc", "left").join(listed, "doc", "left").select(
+    rows = index.where("word is null").select("doc", "doc_id", "n_words").join(hits, "doc", "left")
+    rows = rows.join(named_items(matches, wanted, "items"), "doc", "left")
+    lists = ["items"]
+    if near:
+        rows = rows.join(named_items(proximity_matches(index, ranked), wanted, "near_items"), "doc", "left")
+        lists.append("near_items")
+    return rows.select(
         "doc",
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        *[F.coalesce(name, F.array().cast("array<string>")).alias(name) for name in lists],
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 

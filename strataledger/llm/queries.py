@@ -103,16 +103,33 @@ matches AS (SELECT p.doc_id, p.i, p.n, w.item_id FROM places p JOIN windows w ON
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM matches) GROUP BY doc_id),
 items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
-    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY doc_id)
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY doc_id),
+tokens AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+counts AS (SELECT word, count(*) AS postings FROM tokens GROUP BY word),
+asked AS (
+    SELECT phrase, word, min(place) AS place FROM (
+        SELECT phrase, unnest(string_split(phrase, ' ')) AS word, generate_subscripts(string_split(phrase, ' '), 1) AS place
+        FROM (SELECT DISTINCT phrase FROM windows)) GROUP BY phrase, word),
+rarest AS (
+    SELECT phrase, arg_min(word, (postings, place)) AS word, count(*) AS n_words
+    FROM asked LEFT JOIN counts USING (word) GROUP BY phrase HAVING count(postings) = count(*)),
+close AS (
+    SELECT DISTINCT doc_id, phrase FROM (
+        SELECT t.doc_id, t.pos, r.phrase FROM tokens t JOIN rarest r ON t.word = r.word JOIN asked a ON a.phrase = r.phrase
+        JOIN tokens o ON o.doc_id = t.doc_id AND o.word = a.word AND o.pos BETWEEN t.pos - 12 AND t.pos + 12
+        GROUP BY t.doc_id, t.pos, r.phrase, r.n_words HAVING count(DISTINCT a.word) = r.n_words)),
+close_items AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM close JOIN windows USING (phrase) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+    CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
 FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+LEFT JOIN close_items ON d.doc_id = close_items.doc_id
 """
 
 
 @query
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
     return found.select(
         "doc_id",
         "n_words",
@@ -120,6 +137,7 @@ def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near_items").cast("long").alias("n_near"),
     )
 
 

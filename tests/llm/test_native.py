@@ -100,6 +100,24 @@ def contaminated(docs, items):
         yield str(doc_id), len(words), len(hit), sorted(map(str, found)), bool(hit)
 
 
+def near_items(docs, items, reach=positional_index.NEAR):
+    """Per document row the items of which a window has all its words around its rarest one."""
+    texts = [words_of(text) for _, text in docs]
+    counts = Counter(word for words in texts for word in words)
+    windows = {}
+    for item_id, text in items:
+        words = words_of(text)
+        for i in range(max(1, len(words) - 9)) if words and item_id is not None else ():
+            windows.setdefault(tuple(words[i : i + 10]), set()).add(item_id)
+    for (doc_id, _), words in zip(docs, texts):
+        found = set()
+        for window, owners in windows.items():
+            rarest = min(window, key=lambda w: (counts[w], window.index(w)))
+            if any(word == rarest and set(window) <= set(words[max(0, i - reach) : i + reach + 1]) for i, word in enumerate(words)):
+                found |= owners
+        yield str(doc_id), sorted(map(str, found))
+
+
 def items_table(spark, rows):
     return spark.createDataFrame([(i, t, "x") for i, t in rows], "item_id long, text string, doc_id string")
 
@@ -115,7 +133,12 @@ def test_positional_index_equals_plain_search(documents, spark):
         inside = rng.choice(items)[1] or ""
         docs.append((n, f"{some(rng.randrange(30))} {inside.upper()} . {some(rng.randrange(9))}"))
     docs += [(90, None), (91, ""), (92, "\x00 -"), (93, docs[0][1]), (0, docs[0][1]), (None, items[5][1]), (95, "the " * 9000)]
-    found = positional_index.contamination(documents(docs), items_table(spark, items)).collect()
+    # Words put into a window, moved and left out.
+    docs += [(200 + n, " ".join([*words_of(t)[:3], "zz", *words_of(t)[5:9], "yy", *words_of(t)[3:5], *words_of(t)[9:]])) for n, t in items if n]
+    found = positional_index.contamination(documents(docs), items_table(spark, items), near=True).collect()
+    near = list(near_items(docs, items))
+    assert sorted((str(r["doc_id"]), r["near_items"]) for r in found) == sorted(near)
+    assert any(set(r["near_items"]) - set(r["items"]) for r in found)
     result = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found)
     assert result == sorted(contaminated(docs, items))
     left = positional_index.decontaminated(documents(docs), items_table(spark, items))
@@ -133,8 +156,9 @@ def test_proximity(documents, spark):
     docs = documents([(1, "rare a b c d e f common"), (2, "common x rare"), (3, "rare rare"), (4, "common common rare y common"), (5, "common")])
     wanted = positional_index.phrases(items_table(spark, [(1, "Common rare")]))
     index = positional_index.build_index(docs, spark.createDataFrame([("common",), ("rare",)], "word string"))
+    ranked = positional_index.by_rarity(index, wanted)
     names = {r["doc"]: r["doc_id"] for r in index.where("doc_id is not null").collect()}
-    near = lambda reach: sorted((names[r["doc"]], r["pos"]) for r in positional_index.proximity_matches(index, wanted, reach).collect())
+    near = lambda reach: sorted((names[r["doc"]], r["pos"]) for r in positional_index.proximity_matches(index, ranked, reach).collect())
     assert near(7) == [(1, 0), (2, 2), (4, 2)]
     assert near(2) == [(2, 2), (4, 2)]
     assert near(1) == [(4, 2)]
@@ -189,7 +213,7 @@ def test_chat_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, name):
     duck, folder = duckdb.connect(), "/root/testdata/sf0.001"
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
     cursor = duck.execute(queries.SQL[name])
     columns = [d[0] for d in cursor.description]
