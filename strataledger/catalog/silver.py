@@ -200,8 +200,9 @@ def accounts_latest(layers):
 def accounts_upsert(layers):
     """Two runs: the snapshot of the first one, then the later files as a delta on top of it."""
     passing = layers.passing_accounts
-    existing = acc.incoming_accounts(layers.up_to(passing, feeds.FIRST_RUN_END))
-    delta = acc.incoming_accounts(passing.where(F.col("date") > F.lit(feeds.FIRST_RUN_END).cast("date")))
+    existing = layers.staged(acc.incoming_accounts(layers.up_to(passing, feeds.FIRST_RUN_END)), "existing")
+    later = passing.where(F.col("date") > F.lit(feeds.FIRST_RUN_END).cast("date"))
+    delta = layers.staged(acc.incoming_accounts(later), "delta")
     return acc_columns(acc.upsert(existing, delta), "_first_seen_date")
 
 

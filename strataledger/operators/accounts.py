@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataledger.functions.rules import account_reason
-from strataledger.operators.joins import latest_per_key, replace_by_key
+from strataledger.operators.joins import latest_per_key, place_in_time, replace_by_key, rows_at_greatest
 from strataledger.schemas import POSITION, QUARANTINE_ACCOUNTS, SILVER_ACCOUNTS_STORED, SILVER_CODES
 
 
@@ -27,8 +29,16 @@ def rejected_accounts(classified: DataFrame) -> DataFrame:
 
 
 def latest_accounts(passing_rows: DataFrame, tag: str | None = None) -> DataFrame:
-    """Latest accepted row per account. In one file the later row wins, by ``tag`` if given."""
-    return latest_per_key(passing_rows, ["account_id"], ["date"] + ([tag] if tag else []))
+    """Latest accepted row per account. In one file the later row wins, by ``tag``; without one, the row whose hash is greater."""
+    return rows_at_greatest(passing_rows, "account_id", place_in_time(F.col("date"), position_of(passing_rows, tag)))
+
+
+def position_of(rows: DataFrame, tag: str | None) -> Column:
+    """A row's place in its file. Where it is not known, a hash of the row takes its place, so that the choice is the
+    same in every run."""
+    if tag:
+        return F.col(tag)
+    return F.xxhash64(*sorted(rows.columns)).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))
 
 
 def first_seen(passing_rows: DataFrame) -> DataFrame:
@@ -36,15 +46,12 @@ def first_seen(passing_rows: DataFrame) -> DataFrame:
 
 
 def incoming_accounts(passing_rows: DataFrame, tag: str | None = None) -> DataFrame:
-    """The batch as snapshot rows: latest content and earliest file date, in one aggregate."""
-    position = (F.col(tag) if tag else F.lit(None)).cast(POSITION)
-    rows = passing_rows.withColumn("_file_position", position)
-    order = ["date", "_file_position"]
-    rest = [name for name in rows.columns if name != "account_id" and name not in order]
+    """The batch as snapshot rows: latest content and earliest file date."""
+    place = place_in_time(F.col("date"), position_of(passing_rows, tag))
     return (
-        rows.groupBy("account_id")
-        .agg(F.max(F.struct(*order, *rest)).alias("_row"), F.min("date").alias("_first_seen_date"))
-        .select("account_id", "_row.*", "_first_seen_date", F.col("_row.date").alias("_file_date"))
+        rows_at_greatest(passing_rows, "account_id", place, F.min("date").alias("_first_seen_date"))
+        .withColumn("_file_position", (F.col(tag) if tag else F.lit(None)).cast(POSITION))
+        .withColumn("_file_date", F.col("date"))
         .withColumnRenamed("_ingested_at", "_bronze_ingested_at")
         .withColumn("_record_valid_from", F.current_timestamp())
         .select(*SILVER_ACCOUNTS_STORED.fieldNames())
@@ -62,12 +69,9 @@ def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     stored = existing.join(incoming.select("account_id"), "account_id", "left_semi").select(*columns, F.lit(0).alias("_new"))
     both = stored.unionByName(incoming.select(*columns, F.lit(1).alias("_new")))
     # Rows of the same file and place are the same source row: the newly promoted one is taken.
-    order = ["_file_date", "_file_position", "_new"]
-    rest = [name for name in columns if name != "account_id" and name not in order]
+    place = (place_in_time(F.col("_file_date"), F.col("_file_position")) * 2 + F.col("_new")).cast("decimal(38,0)")
     later = (
-        both.groupBy("account_id")
-        .agg(F.max(F.struct(*order, *rest)).alias("_row"), F.min("_first_seen_date").alias("_earliest"))
-        .select("account_id", "_row.*", "_earliest")
+        rows_at_greatest(both, "account_id", place, F.min("_first_seen_date").alias("_earliest"))
         .withColumn("_first_seen_date", F.col("_earliest"))
         .select(*columns)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,25 @@ def replace_by_key(existing: DataFrame, incoming: DataFrame, key: str) -> DataFr
     return incoming.unionByName(kept, allowMissingColumns=True)
 
 
+def place_in_time(date: Column, position: Column) -> Column:
+    """File date and place in the file (below 10^27) as one number, so that a hash aggregate can hold the greatest."""
+    days = F.coalesce(F.unix_date(date), F.lit(-(10**6))).cast("decimal(7,0)")
+    return (days * F.lit(Decimal(10**27)) + F.coalesce(position, F.lit(0)).cast("decimal(27,0)")).cast("decimal(36,0)")
+
+
+def rows_at_greatest(rows: DataFrame, key: str, place: Column, *more: Column) -> DataFrame:
+    """The row of each key with the greatest ``place``, with the aggregates ``more`` of the whole key beside it.
+
+    Only key and place are aggregated, by hash and combined per task; no whole row is sorted. The rows are fetched by key
+    and place, so a hot key's rows are spread by their places, and stay where they are when the best places can be
+    broadcast. Equal rows of one place become one; different rows need different places. Null keys are left out.
+    """
+    placed = rows.withColumn("_place", place)
+    best = placed.groupBy(F.col(key).alias("_key")).agg(F.max("_place").alias("_best"), *more)
+    found = placed.join(best, (F.col(key) == F.col("_key")) & (F.col("_place") == F.col("_best")))
+    return found.drop("_key", "_best").distinct().drop("_place")
+
+
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, ties settled by the remaining columns.
 

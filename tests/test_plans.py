@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataledger import schemas
+from strataledger.catalog import QUERIES
 from strataledger.operators import daily as dly
 from strataledger.operators import joins
 from strataledger.operators import transactions as txn
@@ -162,3 +163,9 @@ def test_batch_ids_prune_the_history_scan(spark, silver_path, tmp_path):
     assert "might_contain" in plans[-1]
     # Of 6,000 rows a third has no account; the ids of the first 3,000 are in the history.
     assert counts == {"NULL_REQUIRED_FIELD": 2000, "DUPLICATE_TRANSACTION_ID": 2000, None: 2000}
+
+
+@pytest.mark.parametrize("name", ["accounts_latest", "accounts_upsert"])
+def test_latest_accounts_sort_no_rows(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

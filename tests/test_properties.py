@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,26 @@ def test_latest_per_key_with_a_hot_key(spark):
     for r in rows.collect():
         expected[r.key] = max(expected.get(r.key, (-1, -1)), (r.day, r.id))
     assert got == expected
+
+
+def test_rows_at_greatest_with_a_hot_key(spark):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int"))
+    key = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 > 0, F.concat(F.lit("K"), F.col("id") % 50))
+    rows = spark.range(3000).select(key.alias("key"), day.alias("day"), F.col("id").cast("decimal(27,0)").alias("place"), F.lit("x").alias("name"))
+    rows = rows.union(rows)
+    found = joins.rows_at_greatest(rows, "key", joins.place_in_time(F.col("day"), F.col("place")), F.min("place").alias("least"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    expected = {}
+    for r in rows.where("key is not null").collect():
+        best, least = expected.get(r.key, ((dt.date.min, -1), r.place))
+        expected[r.key] = (max(best, (r.day, r.place)), min(least, r.place))
+    assert sorted((r.key, ((r.day, r.place), r.least)) for r in found.collect()) == sorted(expected.items())
+
+
+def test_place_in_time_orders_dates_before_places(spark):
+    last = 10**27 - 1
+    pairs = [(None, last), (dt.date(1, 1, 1), 5), (dt.date(1969, 12, 31), last), (dt.date(1970, 1, 1), None), (dt.date(1970, 1, 1), 1), (dt.date(9999, 12, 31), last)]
+    rows = spark.createDataFrame([(n, day, at and Decimal(at)) for n, (day, at) in enumerate(pairs)], "n int, day date, at decimal(27,0)")
+    placed = rows.select("n", joins.place_in_time(F.col("day"), F.col("at")).alias("place")).collect()
+    assert [r.n for r in sorted(placed, key=lambda r: r.place)] == list(range(len(pairs)))
