@@ -36,6 +36,11 @@ RUNTIME_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+# Joins broadcast a side up to this size by the planner's estimate, which for a stored table is the size of its compressed
+# files: several times less than what passes through the driver. A session may set less, never more.
+BROADCAST_CONF = "spark.sql.autoBroadcastJoinThreshold"
+BROADCAST_BYTES = 256 << 10
+
 # Settings that only a new session takes. Plans are built from many column expressions; the Python
 # call-site capture for each of them is slow.
 LAUNCH_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -59,6 +64,9 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    held = spark.conf.get(BROADCAST_CONF)  # a negative number is none at all
+    if not held.startswith("-") and spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held) > BROADCAST_BYTES:
+        spark.conf.set(BROADCAST_CONF, str(BROADCAST_BYTES))
     return spark
 
 

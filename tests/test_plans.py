@@ -14,6 +14,7 @@ from strataledger.operators import daily as dly
 from strataledger.operators import joins
 from strataledger.operators import transactions as txn
 from strataledger.operators import weekly as wk
+from strataledger.session import configure
 from strataledger.sources.files import local_frame
 
 from test_rules import codes
@@ -169,3 +170,21 @@ def test_batch_ids_prune_the_history_scan(spark, silver_path, tmp_path):
 def test_latest_accounts_sort_no_rows(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_planner_broadcasts_are_bounded(spark, tmp_path):
+    """A stored side whose files are below Spark's own limit of 10 MB, but not below the library's, is not sent to all tasks."""
+    path = str(tmp_path / "accounts")
+    spark.range(200_000).selectExpr("uuid() as account_id").coalesce(1).write.parquet(path)
+    side = spark.read.schema("account_id string").parquet(path)
+    rows = spark.range(1_000).selectExpr("cast(id as string) as account_id")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10m"):
+        configure(spark)
+        assert "Broadcast" not in final_plan(rows.join(side, "account_id", "left"))
+        side.limit(10).write.parquet(f"{path}_few")
+        few = spark.read.schema("account_id string").parquet(f"{path}_few")
+        assert "Broadcast" in final_plan(rows.join(few, "account_id", "left"))
+    for less in ("-1", "1000", "2k"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=less):
+            configure(spark)
+            assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == less
