@@ -1,21 +1,22 @@
-"""Context-tree weighting over the bytes of words.
+"""Context-tree weighting over the bytes of running text.
 
-A text is a sequence of words and one end. A word is spelled byte by byte, closed by a space; the context of a
-byte are the DEPTH bytes before it, and contexts stop at the start of the word (spaces stand there), so a
-word's probability does not depend on its neighbours. Every byte is eight binary decisions. Each decision node
-has a context tree of its own, whose nodes hold Krichevsky-Trofimov estimates; the weighted probability of
+A text is its words and one end, each closed by a space. The context of a byte are the DEPTH bytes before it; with
+``across`` they run on over the spaces into the words before, and spaces stand before the text. Without ``across`` contexts
+stop at the start of the word, so that a word's probability does not depend on its neighbours. Every byte is eight binary
+decisions. Each decision node has a context tree of its own, whose nodes hold Krichevsky-Trofimov estimates; the weighted probability of
 a node is the even mixture of its own estimate and the product of its children's. The probability of the next bit is
 the ratio of weighted probabilities with and without it, which is a mixture of the estimates along the context
 path, with the posterior weights of cutting the tree at each depth. Contexts that training lacks end the path.
 
 Events are pairs of context and byte, packed in one integer with the nearest byte highest, so that all
-contexts of a subtree are neighbours in sorted order. The tree is summed up bottom-up in tasks that own all contexts with the
-same last two bytes; the two levels above (at most 65,536 contexts for each of 255 decisions) are summed up per
-decision; then the tasks go down again and give every event its probability.
+contexts of a subtree are neighbours in sorted order. Every byte of every row is an event; tasks count them in sorted runs. The tree is
+summed up bottom-up in tasks that own all contexts with the same last SHALLOW bytes, some subtrees at a time; the levels above (the
+contexts of SHALLOW bytes that occur, for each of 255 decisions) are summed up per decision; then the tasks go down again and
+give every event its probability.
 
-Corpus counts cover all training rows. At most ``TOP`` of the most frequent words are scored where documents are read,
-and all other words through a join, so the result does not depend on ``TOP``. A model of at most ``LOCAL_EVENTS``
-events (12 bytes each) is sent to the tasks that score words; a larger one is joined.
+Corpus counts cover all training rows. At most ``TOP`` of the most frequent words and ``LOCAL_EVENTS`` of the most frequent
+events (12 bytes each) are sent to the tasks that read documents; all others are looked up through joins, so the result does not depend on
+these numbers. Texts are spelled in windows of WINDOW bytes that overlap by their contexts, so a long one is no larger array.
 
 Defined results: a null or empty text is the end alone. Repeated rows, also with equal or null ids, count
 and are scored repeatedly. Without training rows every bit has probability one half. An empty table gives no rows.
@@ -37,12 +38,18 @@ from pyspark.sql import functions as F
 from strataledger.llm.common import blocks, record_batch, stored, utf8
 
 DEPTH = 6
-SHALLOW = 2
+SHALLOW = 3
 END = b"\n"  # no word contains it
 TOP = 200_000
 LOCAL_EVENTS = 4_000_000
-# Distinct words or events that a task sums up before it passes them on.
+WINDOW = 1 << 20
+# Distinct words, and distinct events, that a task sums up before it passes them on.
 HELD = 400_000
+HELD_EVENTS = 3_000_000
+# Events that a task sorts at once, and events whose subtrees it holds at once (more if they are one subtree).
+RUN = 2_000_000
+SUBTREES = 100_000
+NO_EVENT = np.iinfo(np.int64).max
 LOG10 = math.log(10)
 
 
@@ -78,49 +85,103 @@ def word_counts(docs: DataFrame, training: Column) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def events_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All events of the words, and where each word's events begin."""
+def windows_of(words: list[bytes], across: bool) -> list[bytes]:
+    """The spelled words, cut into windows; the first DEPTH bytes of each are context only."""
     pad = b" " * DEPTH
-    parts = [pad + w + b" " for w in words]
-    data = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
-    sizes = np.array([len(p) for p in parts])
+    spelled = [pad + b" ".join(words) + b" "] if across else [pad + word + b" " for word in words]
+    return [text[at : at + WINDOW + DEPTH] for text in spelled for at in range(0, len(text) - DEPTH, WINDOW)]
+
+
+def events_of(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All events of the windows, and how many each has."""
+    data = np.frombuffer(b"".join(windows), np.uint8).astype(np.int64)
+    sizes = np.array([len(w) for w in windows])
+    key = data[DEPTH:].copy()
+    for back in range(1, DEPTH + 1):
+        key |= data[DEPTH - back : len(data) - back] << (8 * (DEPTH + 1 - back))
     spelled = np.ones(len(data), bool)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     for place in range(DEPTH):
         spelled[starts + place] = False
-    at = np.flatnonzero(spelled)
-    key = data[at]
-    for back in range(1, DEPTH + 1):
-        key |= data[at - back] << (8 * (DEPTH + 1 - back))
-    return key, starts - DEPTH * np.arange(len(words))
-
-
-def event_counts(words: DataFrame) -> DataFrame:
-    """Columns event and n, from words and their counts."""
+    return key[spelled[DEPTH:]], sizes - DEPTH
+
+
+def spelled_in(texts: list[list[bytes]], across: bool):
+    """Windows of the texts' words in groups of about WINDOW bytes, and the number of each window's text."""
+    held, owners, size = [], [], 0
+    for number, words in enumerate(texts):
+        for window in windows_of(words, across):
+            held.append(window)
+            owners.append(number)
+            size += len(window)
+            if size >= WINDOW:
+                yield held, owners
+                held, owners, size = [], [], 0
+    if held:
+        yield held, owners
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words and the end."""
+    return [*text.lower().split(), END]
+
+
+class Tally:
+    """Distinct events and their counts in sorted order; events of other rows count zero."""
+
+    def __init__(self):
+        self.events, self.n = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.waiting: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        self.size = 0
+
+    def add(self, events: np.ndarray, learn: bool) -> None:
+        self.waiting[learn].append(events)
+        self.size += len(events)
+        if self.size >= RUN:
+            self.fold()
+
+    def fold(self) -> None:
+        runs, counts = [self.events], [self.n]
+        for learn, waiting in self.waiting.items():
+            if waiting:
+                found, n = np.unique(np.concatenate(waiting), return_counts=True)
+                runs.append(found)
+                counts.append(n if learn else np.zeros(len(found), np.int64))
+            waiting.clear()
+        events = np.concatenate(runs)
+        order = np.argsort(events, kind="stable")  # merges the runs
+        events = events[order]
+        first = np.flatnonzero(np.diff(events, prepend=-1))
+        self.events, self.size = events[first], 0
+        self.n = np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else self.n
+
+
+def event_counts(docs: DataFrame, training: Column, across: bool) -> DataFrame:
+    """Columns event and n: how often each event of any row occurs in the training rows."""
 
     def count(batches):
         schema = pa.schema([("event", pa.int64()), ("n", pa.int64())])
-        keys, weights, size = [], [], 0
+        tally = Tally()
 
         def held():
-            if keys:
-                found, place = np.unique(np.concatenate(keys), return_inverse=True)
-                n = np.bincount(place, weights=np.concatenate(weights))
-                yield record_batch(schema, [found, n.astype(np.int64)])
-
-        for batch in batches:
-            own = batch.column("word").to_pylist()
-            if own:
-                events, firsts = events_of(own)
-                keys.append(events)
-                weights.append(np.repeat(batch.column("n").to_numpy(), np.diff([*firsts, len(events)])))
-                size += len(events)
-            if size > 4 * HELD:
+            tally.fold()
+            for at in range(0, len(tally.events), HELD):
+                yield record_batch(schema, [tally.events[at : at + HELD], tally.n[at : at + HELD]])
+
+        for batch in blocks(batches):
+            learn = np.array(batch.column("training").to_pylist(), bool)
+            texts = utf8(batch.column("text"))
+            for side in (True, False):
+                for windows, _ in spelled_in([words_of(texts[i]) for i in np.flatnonzero(learn == side)], across):
+                    tally.add(events_of(windows)[0], side)
+            if len(tally.events) > HELD_EVENTS:
                 yield from held()
-                keys, weights, size = [], [], 0
+                tally = Tally()
         yield from held()
 
-    return words.mapInArrow(count, "event long, n long").groupBy("event").agg(F.sum("n").alias("n"))
+    rows = docs.select("text", training.alias("training")).mapInArrow(count, "event long, n long")
+    # A task's events are distinct already: they are dealt before they are summed up.
+    return rows.repartition("event").groupBy("event").agg(F.sum("n").alias("n"))
 
 
 # The tree
@@ -211,7 +272,7 @@ def event_scores(events: np.ndarray, n: np.ndarray, ids: np.ndarray, before: np.
 
 
 def shallow_rows(rows: pd.DataFrame) -> pd.DataFrame:
-    """What the levels above SHALLOW say to its nodes; all nodes of one decision (at most 65,536 contexts)."""
+    """What the levels above SHALLOW say to its nodes; all nodes of one decision."""
     rows = rows.sort_values("id")
     level = Level(rows["id"].to_numpy(), rows["zeros"].to_numpy(), rows["ones"].to_numpy())
     level.weighted = rows["weighted"].to_numpy()
@@ -235,16 +296,28 @@ def gathered(batches) -> dict[str, np.ndarray]:
     return {name: whole.column(name).to_numpy() for name in whole.column_names}
 
 
+def subtrees(events: np.ndarray):
+    """Places of the events of whole subtrees, about SUBTREES of them at a time, and the first and last subtree."""
+    order = np.argsort(events)
+    tails = events[order] >> (8 * (DEPTH + 1 - SHALLOW))
+    ends = np.append(np.flatnonzero(np.diff(tails)) + 1, len(tails))
+    start = 0
+    while start < len(order):
+        stop = ends[min(np.searchsorted(ends, start + SUBTREES), len(ends) - 1)]
+        yield order[start:stop], tails[start], tails[stop - 1]
+        start = stop
+
+
 def event_probabilities(events: DataFrame) -> DataFrame:
-    """Columns event and score (log10) for all events (event, n)."""
+    """Adds column score (log10) to all events (event, n)."""
     tail = F.shiftright("event", 8 * (DEPTH + 1 - SHALLOW)).alias("tail")
     split = events.select(tail, "event", "n")
 
     def up(batches):
         rows = gathered(batches)
-        if rows:
-            top = climb(rows["event"], rows["n"])[0][-1]
-            names = [("id", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64())]
+        names = [("id", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64())]
+        for own, _, _ in subtrees(rows["event"]) if rows else ():
+            top = climb(rows["event"][own], rows["n"][own])[0][-1]
             yield record_batch(pa.schema(names), [top.ids, top.zeros, top.ones, top.weighted])
 
     upper = split.repartition("tail").mapInArrow(up, "id long, zeros double, ones double, weighted double")
@@ -256,65 +329,67 @@ def event_probabilities(events: DataFrame) -> DataFrame:
     def down(batches):
         rows = gathered(batches)
         if rows:
-            own = rows["n"] >= 0
-            upper = ~own
-            scores = event_scores(
-                rows["event"][own], rows["n"][own], rows["event"][upper], rows["before"][upper], rows["rate"][upper]
-            )
-            yield record_batch(pa.schema([("event", pa.int64()), ("score", pa.float64())]), [rows["event"][own], scores])
-
-    return both.repartition("tail").mapInArrow(down, "event long, score double")
-
-
-def word_scores(words: DataFrame, model: DataFrame) -> DataFrame:
-    """Adds column score, the log10 probability of spelling the word."""
-    if model.count() <= LOCAL_EVENTS:
-        rows = model.toArrow().sort_by("event")
-        events, scores = rows.column("event").to_numpy(), rows.column("score").to_numpy().astype(np.float32)
-        shared = model.sparkSession.sparkContext.broadcast((events, scores))
-
-        def spell(batches):
-            schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("score", pa.float64())])
-            events, scores = shared.value
-            for batch in batches:
-                own = batch.column("word").to_pylist()
-                if own:
-                    found, firsts = events_of(own)
-                    each = scores[np.searchsorted(events, found)].astype(np.float64)
-                    yield record_batch(schema, [batch.column("word"), batch.column("n"), np.add.reduceat(each, firsts)])
-
-        return words.select("word", "n").mapInArrow(spell, "word binary, n long, score double")
-
-    def spread(batches):
-        schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("event", pa.int64())])
-        for batch in batches:
-            if batch.num_rows:
-                found, firsts = events_of(batch.column("word").to_pylist())
-                row = pa.array(np.repeat(np.arange(batch.num_rows), np.diff([*firsts, len(found)])))
-                yield record_batch(schema, [batch.column("word").take(row), batch.column("n").take(row), found])
-
-    spelled = words.select("word", "n").mapInArrow(spread, "word binary, n long, event long")
-    return spelled.join(model, "event").groupBy("word", "n").agg(F.sum(F.col("score").cast("float").cast("double")).alias("score"))
+            own, upper = rows["n"] >= 0, rows["n"] < 0
+            order = np.argsort(rows["event"][upper])
+            ids, before, rate = (rows[name][upper][order] for name in ("event", "before", "rate"))
+            events, n = rows["event"][own], rows["n"][own]
+            schema = pa.schema([("event", pa.int64()), ("n", pa.int64()), ("score", pa.float32())])
+            for at, first, last in subtrees(events):
+                said = slice(*np.searchsorted(ids, [first << 8, (last + 1) << 8]))
+                scores = event_scores(events[at], n[at], ids[said], before[said], rate[said])
+                yield record_batch(schema, [events[at], n[at], scores.astype(np.float32)])
+
+    return both.repartition("tail").mapInArrow(down, "event long, n long, score float")
+
+
+def frequent_events(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most LOCAL_EVENTS of the most frequent events and their scores, in the order of the events; one beyond all ends them."""
+    if model.count() > LOCAL_EVENTS:
+        model = model.where(F.col("n") >= frequent_from(model, LOCAL_EVENTS))
+    rows = model.select("event", "score").toArrow()
+    events = rows.column("event").to_numpy()
+    order = np.argsort(events)
+    return np.append(events[order], NO_EVENT), np.append(rows.column("score").to_numpy()[order], np.float32(0))
+
+
+def spelled_scores(texts: list[list[bytes]], across: bool, events: np.ndarray, scores: np.ndarray):
+    """The sum of the known events' scores of each text; and the other events: their text, event and times."""
+    total, rest = np.zeros(len(texts)), []
+    for windows, owners in spelled_in(texts, across):
+        found, sizes = events_of(windows)
+        different, place = np.unique(found, return_inverse=True)
+        at = np.searchsorted(events, different)
+        known = events[at] == different
+        each = np.where(known, scores[at], 0.0)[place]
+        text = np.repeat(owners, sizes)
+        total += np.bincount(text, weights=each, minlength=len(texts))
+        if not known.all():
+            other = np.flatnonzero(~known[place])
+            pairs, times = np.unique(text[other] * len(different) + place[other], return_counts=True)
+            rest.append((pairs // len(different), different[pairs % len(different)], times))
+    if not rest:
+        rest = [(np.empty(0, np.int64),) * 3]
+    return total, tuple(np.concatenate(parts) for parts in zip(*rest))
 
 
 # Documents
 
 
-def frequent_from(words: DataFrame) -> int:
-    """The smallest power of the fourth root of two that at most TOP words reach; found from a histogram."""
+def frequent_from(counted: DataFrame, most: int) -> int:
+    """The smallest power of the fourth root of two that at most ``most`` rows reach; found from a histogram."""
     step = F.floor(F.log2(F.col("n") + 0.5) * 4)
-    sizes = words.where("n > 0").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"))
+    sizes = counted.where("n > 0").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"))
     total, least = 0, 1 << 62
     for row in sorted(sizes.collect(), reverse=True):  # at most 4 * 63 rows
-        total += row["words"]
-        if total > TOP:
+        total += row["rows"]
+        if total > most:
             break
         least = math.ceil(2 ** (row["step"] / 4) - 0.5)
     return least
 
 
-def score(docs: DataFrame, training: Column) -> DataFrame:
-    """Every row scored by a model of the rows where ``training`` holds.
+def score(docs: DataFrame, training: Column, across: bool = False) -> DataFrame:
+    """Every row scored by a model of the rows where ``training`` holds; ``across``: contexts reach over the spaces.
 
     Columns: doc_id, training, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities of the whole
     text) and bits_per_byte, the code length of the text under the tree for each byte of words and separators.
@@ -322,59 +397,66 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     learn = F.coalesce(training, F.lit(False))
     words = stored(word_counts(docs, learn), "words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    model = event_probabilities(stored(event_counts(words), "events"))
-    scored = stored(word_scores(words, stored(model, "event_scores")), "word_scores")
+    model = stored(event_probabilities(stored(event_counts(docs, learn, across), "events")), "event_scores")
     floor = math.log10(tokens + 0.1 * (kinds + 1))
-    ends = [(r["n"], r["score"]) for r in scored.where(F.col("word") == F.lit(END)).collect()]
-    end_n, end_score = ends[0] if ends else (0, 0.0)
-    top = scored.where(F.col("n") >= frequent_from(scored)).toArrow()
+    ends = [r["n"] for r in words.where(F.col("word") == F.lit(END)).collect()]
+    end_n = ends[0] if ends else 0
+    top = words.where(F.col("n") >= frequent_from(words, TOP)).toArrow()
     known_words = {w: i for i, w in enumerate(top.column("word").to_pylist())}
     counts = top.column("n").to_numpy()
-    local = (known_words, counts > 0, np.log10(counts + 0.1) - floor, top.column("score").to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(local)  # TOP words
+    local = (known_words, counts > 0, np.log10(counts + 0.1) - floor, *frequent_events(model))
+    shared = docs.sparkSession.sparkContext.broadcast(local)  # TOP words, LOCAL_EVENTS events
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     fields = [("training", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("size", pa.int64())]
-    fields += [("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("times", pa.int64())]
+    fields += [("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("event", pa.int64()), ("times", pa.int64())]
     names = "row long, training boolean, n_tokens long, n_known long, size long, base double, score double"
 
     def read(batches):
-        index, is_known, base, spelled = shared.value
+        index, is_known, base, events, scores = shared.value
         find = index.get
         number = TaskContext.get().partitionId() << 40
         for batch in blocks(batches):
             rows, rest_rows, rest_words, rest_times = [], [], [], []
-            for text in utf8(batch.column("text")):
-                words = text.lower().split()
+            texts = [words_of(text) for text in utf8(batch.column("text"))]
+            spelled, (owner, other, times) = spelled_scores(texts, across, events, scores)
+            first = number
+            for words in texts:
+                size = sum(map(len, words)) + len(words)
+                words = words[:-1]
                 places = np.array([find(w, -1) for w in words], np.int64)
                 rare = Counter([words[i] for i in np.flatnonzero(places < 0)])
                 places = places[places >= 0]
-                size = sum(map(len, words)) + len(words) + 2
-                rows.append((number, len(words) + 1, is_known[places].sum(), size, base[places].sum(), spelled[places].sum()))
+                rows.append((number, len(words) + 1, is_known[places].sum(), size, base[places].sum()))
                 rest_rows += [number] * len(rare)
                 rest_words += rare
                 rest_times += rare.values()
                 number += 1
-            row, n, known, size, sums, logs = zip(*rows)
+            row, n, known, size, sums = zip(*rows)
             ids = batch.column("doc_id")
             schema = pa.schema([("doc_id", ids.type), ("row", pa.int64()), *fields])
             nothing = [None] * len(rows)
-            yield record_batch(schema, [ids, row, batch.column("training"), n, known, size, sums, logs, nothing, nothing])
+            yield record_batch(schema, [ids, row, batch.column("training"), n, known, size, sums, spelled, *[nothing] * 3])
             blank = [None] * len(rest_rows)
-            yield record_batch(schema, [blank, rest_rows, *[blank] * 6, rest_words, rest_times])
+            yield record_batch(schema, [blank, rest_rows, *[blank] * 6, rest_words, blank, rest_times])
+            blank = [None] * len(other)
+            if len(other):
+                yield record_batch(schema, [blank, first + owner, *[blank] * 7, other, times])
 
     passed = docs.select("doc_id", "text", learn.alias("training")).mapInArrow(
-        read, f"doc_id {doc_type}, {names}, word binary, times long"
+        read, f"doc_id {doc_type}, {names}, word binary, event long, times long"
     )
     passed = stored(passed, "documents")
-    rare = passed.where("word is not null").select("row", "word", "times").join(scored, "word")
+    rare = passed.where("word is not null").select("row", "word", "times").join(words, "word")
     rare = rare.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * (F.log10(F.col("n") + 0.1) - floor)).alias("rare_base"),
-        F.sum(F.col("times") * F.col("score")).alias("rare_score"),
     )
-    found = passed.where("word is null").join(rare, "row", "left")
+    others = passed.where("event is not null").select("row", "event", "times").join(model, "event")
+    others = others.groupBy("row").agg(F.sum(F.col("times") * F.col("score").cast("double")).alias("rare_score"))
+    found = passed.where("word is null and event is null")
+    found = found.join(rare, "row", "left").join(others, "row", "left")
     plus = lambda column, more: F.col(column) + F.coalesce(more, F.lit(0))
-    total = plus("score", "rare_score") + F.lit(end_score)
+    total = plus("score", "rare_score")
     return found.select(
         "doc_id",
         "training",

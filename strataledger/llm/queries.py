@@ -79,7 +79,7 @@ def op6_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = context_tree.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) != 0)
+    scored = context_tree.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) != 0, across=True)
     return scored.select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
     )

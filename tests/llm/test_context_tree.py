@@ -117,3 +117,59 @@ def test_without_training_rows_and_without_rows(documents):
 def test_log_gamma():
     x = np.array([0.5, 1.0, 1.5, 7.0, 1e3, 1e9])
     assert ct.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-10, abs=1e-9)
+
+
+@pytest.mark.parametrize("top, local", [(200_000, 4_000_000), (2, 20), (2, -1)])
+def test_contexts_run_over_the_words_before(documents, monkeypatch, top, local):
+    monkeypatch.setattr(ct, "TOP", top)
+    monkeypatch.setattr(ct, "LOCAL_EVENTS", local)
+    texts = [*TEXTS, (8, "cat the"), (9, "the cat"), (7, "hat and"), (None, "a b\nC  d")]
+    running = [(doc_id, b" ".join([*(text or "").encode().lower().split(), b"\n"])) for doc_id, text in texts]
+    tree = Tree(Counter(text for doc_id, text in running if doc_id != 7))  # a running text is spelled like one word
+    expected = sorted(((doc_id, tree.score(text)) for doc_id, text in running), key=repr)
+    found = ct.score(documents(texts), F.coalesce(F.col("doc_id"), F.lit(0)) != 7, across=True).collect()
+    rows = sorted(((r["doc_id"], r["score"]) for r in found), key=repr)
+    assert [row[0] for row in rows] == [row[0] for row in expected]
+    assert [row[1] for row in rows] == pytest.approx([row[1] for row in expected], abs=1e-5)
+    by_order = {r["doc_id"]: r["score"] for r in found if r["doc_id"] in (8, 9) and r["n_tokens"] == 3}
+    assert abs(by_order[8] - by_order[9]) > 0.01
+
+
+def test_query_reads_running_text(spark, tmp_path):
+    from strataledger.llm.queries import QUERIES
+
+    texts = [(i, "one two three four " * 5) for i in range(30)] + [(31, "four three two one " * 5)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(path)
+    score = {r["doc_id"]: r["score"] for r in QUERIES["op2_context_tree"](spark, str(tmp_path)).collect()}
+    assert score[0] > score[31] + 1
+
+
+def test_windows_and_runs_do_not_change_events(monkeypatch):
+    words = [b"the", b"cat", b"and", b"t" * 40, b"\n"] * 3
+    for across in (True, False):
+        whole = np.concatenate([ct.events_of(w)[0] for w, _ in ct.spelled_in([words, words[:2]], across)])
+        monkeypatch.setattr(ct, "WINDOW", 7)
+        monkeypatch.setattr(ct, "RUN", 11)
+        tally, parts = ct.Tally(), []
+        for windows, _ in ct.spelled_in([words, words[:2]], across):
+            parts.append(ct.events_of(windows)[0])
+            tally.add(parts[-1], True)
+            tally.add(parts[-1], False)
+        monkeypatch.undo()
+        assert (np.concatenate(parts) == whole).all()
+        tally.fold()
+        events, n = np.unique(whole, return_counts=True)
+        assert (tally.events == events).all() and (tally.n == n).all()
+
+
+def test_subtrees_stay_whole(monkeypatch):
+    monkeypatch.setattr(ct, "SUBTREES", 3)
+    shift = 8 * (ct.DEPTH + 1 - ct.SHALLOW)
+    events = np.array([5, 1, 1, 2, 9, 5, 5, 5, 7], np.int64) << shift
+    seen = []
+    for places, first, last in ct.subtrees(events):
+        tails = events[places] >> shift
+        assert tails.min() == first and tails.max() == last and not {*tails} & {t for part in seen for t in part}
+        seen.append([*tails])
+    assert len(seen) > 1 and sum(map(len, seen)) == len(events)
