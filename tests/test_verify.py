@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 import sample
 from pyspark.sql import functions as F
 
 from strataledger.plans import runs, verify
+from strataledger.session import BROADCAST_CONF
 from strataledger.sources.warehouse import Warehouse
 
+from test_plans import settings
+
 START, END = "2024-01-01", "2024-01-07"
 
 
@@ -146,3 +150,42 @@ def test_an_account_that_changed_later_is_no_mismatch(sound):
     weekly = sound.weekly().where("account_id = 'ACC-001'").first()
     assert changed.current_balance == 77 and weekly.closing_balance != 77
     assert weekly.week_end_date == dt.date(2024, 1, 7)
+
+
+class Grown(Warehouse):
+    """A warehouse whose accounts, weekly rows and silver rows are repeated under other ids, silver rows less often."""
+
+    COPIES = {ACCOUNTS: 40_000, WEEKLY: 40_000, SILVER: 15_000}
+
+    def __init__(self, sound: Warehouse, folder: str):
+        super().__init__(sound.spark, sound.root, sound.source)
+        tables = {SILVER: super().dated(SILVER), ACCOUNTS: super().snapshot(ACCOUNTS), WEEKLY: super().weekly()}
+        for name, rows in tables.items():
+            ids = {c: F.concat(c, F.md5(F.col("_copy").cast("string"))) for c in ("account_id", "transaction_id") if c in rows.columns}
+            copies = rows.crossJoin(self.spark.range(self.COPIES[name]).withColumnRenamed("id", "_copy"))
+            copies.withColumns(ids).drop("_copy").coalesce(4).write.parquet(f"{folder}/{name}")
+        self.grown = {name: self.spark.read.schema(rows.schema).parquet(f"{folder}/{name}") for name, rows in tables.items()}
+
+    def dated(self, name):
+        return self.grown[name] if name == SILVER else super().dated(name)
+
+    def snapshot(self, name):
+        return self.grown[name] if name == ACCOUNTS else super().snapshot(name)
+
+    def weekly(self):
+        return self.grown[WEEKLY]
+
+
+def test_suite_sends_no_growing_table_through_the_driver(spark, sound, tmp_path):
+    """The accounts are below Spark's own limit for broadcasts; only lists that calendar, codes or runs bound are sent."""
+    with settings(spark, **{BROADCAST_CONF.replace(".", "__"): "10m"}):
+        suite = verify.suite(Grown(sound, str(tmp_path)), START, END)
+        violations = {row["check"]: row["violations"] for row in suite.collect()}
+        execution = suite._jdf.queryExecution()
+        plan = execution.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    final = plan.split("== Initial Plan ==")[0]
+    sent = [float(rows) for rows in re.findall(r"BroadcastQueryStage .*?rowCount=([\d.E+]+)", final)]
+    assert sent and max(sent) <= 100, sorted(sent)
+    unmatched = 3 * (Grown.COPIES[WEEKLY] - Grown.COPIES[SILVER])
+    found = {name: n for name, n in violations.items() if n and name.startswith(("weekly", "silver", "accounts"))}
+    assert found == {"weekly_matches_silver": unmatched, "weekly_spurious_pairs": unmatched}
